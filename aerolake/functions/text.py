@@ -76,4 +76,4 @@ def enriched_to_json() -> Column:
 
 def encode_envelope(text: Column) -> Column:
     """Base64 on one line."""
-    return F.translate(F.base64(F.encode(text, "UTF-8")), "\r\n", "")
+    return F.replace(F.base64(F.encode(text, "UTF-8")), F.lit("\r\n"), F.lit(""))

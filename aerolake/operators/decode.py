@@ -11,46 +11,43 @@ from aerolake.schemas import STATE_FIELDS, STATE_SLOTS
 _NUMBERS = ["longitude", "latitude", "altitude", "velocity", "heading", "vertical_rate", "geo_altitude"]
 _EPOCHS = ["time_position", "last_contact"]
 
-
-def _slot(raw: Column, name: str) -> Column:
-    return F.get(raw, STATE_FIELDS.index(name))
+_CASTS = {
+    "icao24": slots.text,
+    "callsign": slots.clean_callsign,
+    "origin_country": slots.text,
+    "on_ground": slots.flag,
+    "sensors": slots.sensor_ids,
+    "squawk": slots.text,
+    "spi": slots.flag,
+    "position_source": slots.position_source,
+    **{name: slots.number for name in _NUMBERS},
+    **{name: slots.epoch_to_ts for name in _EPOCHS},
+}
+
+_CHECKS = {
+    "sensors": slots.sensors_are_bad,
+    "position_source": slots.position_source_is_bad,
+    **{name: slots.number_is_bad for name in _NUMBERS},
+    **{name: slots.epoch_is_bad for name in _EPOCHS},
+}
 
 
 def decoded_slot(raw: Column, name: str) -> Column:
-    slot = _slot(raw, name)
-    if name in _NUMBERS:
-        return slots.number(slot)
-    if name in _EPOCHS:
-        return slots.epoch_to_ts(slot)
-    special = {
-        "callsign": slots.clean_callsign,
-        "on_ground": slots.flag,
-        "spi": slots.flag,
-        "sensors": slots.sensor_ids,
-        "position_source": slots.position_source,
-    }
-    return special.get(name, lambda s: s)(slot)
+    return _CASTS[name](raw, STATE_FIELDS.index(name))
 
 
 def reject_reason(raw: Column) -> Column:
-    """Why a row cannot be decoded; null for a good row."""
+    """Why an array cannot be decoded; null for a good one. The first failing slot counts."""
+    is_array = F.coalesce(F.to_json(raw).startswith("["), F.lit(False))
+    shape = F.when(
+        ~slots.present(raw, STATE_SLOTS - 1), F.when(is_array, "short_row").otherwise("not_an_array")
+    )
     checks = [
-        (raw.isNull(), "not_an_array"),
-        (F.size(raw) < STATE_SLOTS, "short_row"),
+        F.when(_CHECKS[name](raw, slot), f"bad_{name}")
+        for slot, name in enumerate(STATE_FIELDS)
+        if name in _CHECKS
     ]
-    for name in STATE_FIELDS:
-        slot = _slot(raw, name)
-        if name in _EPOCHS:
-            checks.append((slots.epoch_is_bad(slot), f"bad_{name}"))
-        elif name in _NUMBERS:
-            checks.append((slots.number_is_bad(slot), f"bad_{name}"))
-        elif name == "sensors":
-            checks.append((slots.sensors_are_bad(slot), "bad_sensors"))
-        elif name == "position_source":
-            checks.append((slots.position_source_is_bad(slot), "bad_position_source"))
-    numeric = [_slot(raw, n) for n in [*_NUMBERS, *_EPOCHS]]
-    checks.append((slots.numbers_are_jvm_only(numeric), "bad_number_text"))
-    return F.coalesce(*[F.when(bad, F.lit(reason)) for bad, reason in checks])
+    return F.coalesce(shape, *checks)
 
 
 def decode_state_vector(exploded: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions import text
 from aerolake.schemas import ENRICHED_FIELDS, ENRICHED_PASS_THROUGH
-from aerolake.sources.envelopes import decode_envelope
+from aerolake.sources.envelopes import decode_envelope, field
 
 OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
 
@@ -41,24 +41,35 @@ def enrich_projection(states: DataFrame, processed_at: Column | None = None) ->
     )
 
 
+def _coordinate_text(record: Column, name: str) -> Column:
+    """Text of a coordinate as the record has it: whole number, fraction or text."""
+    json = F.to_json(field(record, name))
+    number = field(record, name, "double")
+    is_text = json.startswith('"') & ~F.coalesce(F.abs(number) == float("inf"), F.lit(False)) & ~F.coalesce(F.isnan(number), F.lit(False))
+    is_whole = F.schema_of_variant(field(record, name)) == "BIGINT"
+    return (
+        F.when(is_text, field(record, name, "string"))
+        .when(is_whole, json)
+        .otherwise(F.coalesce(text.float_text(number), json))
+    )
+
+
 def enrich_outcome(envelopes: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """One row (recordId, data, result, value) per envelope.
 
-    ``value`` is the enriched record as JSON text for Ok rows, else null. ``data`` is
-    the input, kept for the error sink.
+    ``value`` is the enriched record as JSON text for Ok rows, else null; its fields have
+    whatever type they came with. ``data`` is the input, kept for the error sink.
     """
-    decoded = decode_envelope(envelopes)
-    latitude, longitude = F.col("record.latitude"), F.col("record.longitude")
-    result = (
-        F.when(F.col("record").isNull(), FAILED)
-        .when(latitude.isNull() | longitude.isNull(), DROPPED)
-        .otherwise(OK)
-    )
-    enriched = {name: F.col(f"record.{name}") for name in ENRICHED_PASS_THROUGH}
+    record = F.col("record")
+    missing = field(record, "latitude").isNull() | field(record, "longitude").isNull()
+    result = F.when(record.isNull(), FAILED).when(missing, DROPPED).otherwise(OK)
+    enriched = {name: field(record, name) for name in ENRICHED_PASS_THROUGH}
     enriched["event_time"] = text.event_time_text(processing_time(processed_at))
-    enriched["location"] = text.location(latitude, longitude)
+    enriched["location"] = F.concat(
+        _coordinate_text(record, "latitude"), F.lit(","), _coordinate_text(record, "longitude")
+    )
     value = text.json_with_nulls(F.struct(*[enriched[n].alias(n) for n in ENRICHED_FIELDS]))
-    return decoded.select(
+    return decode_envelope(envelopes).select(
         "recordId", "data", result.alias("result"), F.when(result == OK, value).alias("value")
     )
 

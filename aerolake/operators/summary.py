@@ -10,7 +10,7 @@ from aerolake.functions.text import ts_to_iso
 from aerolake.operators.decode import decoded_slot, reject_reason
 from aerolake.operators.enrich import processing_time
 from aerolake.schemas import STATE_FIELDS, STATE_SCHEMA
-from aerolake.sources.snapshots import explode_states, parsed_states
+from aerolake.sources.snapshots import explode_states, state_arrays
 
 
 def snapshot_summary(
@@ -24,7 +24,7 @@ def snapshot_summary(
     raw = F.col("raw")
     counted = F.col("pos").isNotNull() & reject_reason(raw).isNull()
     if country is not None:
-        counted = counted & (F.get(raw, STATE_FIELDS.index("origin_country")) == F.lit(country))
+        counted = counted & (decoded_slot(raw, "origin_country") == F.lit(country))
     return (
         explode_states(snapshots, keep_empty=True)
         .groupBy("snapshot_id")
@@ -51,7 +51,7 @@ def snapshot_document(
         return entry["reject_reason"].isNull() & F.coalesce(wanted, F.lit(False))
 
     states = F.transform(
-        F.filter(F.transform(parsed_states(F.col("body")), decode), keep), lambda entry: entry["state"]
+        F.filter(F.transform(state_arrays(F.col("body")), decode), keep), lambda entry: entry["state"]
     )
     return snapshots.select(
         "snapshot_id",

@@ -22,8 +22,17 @@ EVENTS_SCHEMA = (
 SNAPSHOT_STATES = 50
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Uses all cores for a table whose files make fewer tasks than that.
+
+    Only a small table is moved; one with enough splits is read where it lies.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,14 +48,18 @@ def _unless(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def _inner(*values: Column) -> Column:
-    """JSON of like-typed slots without the brackets."""
-    listed = F.to_json(F.array(*values))
-    return listed.substr(F.lit(2), F.length(listed) - 2)
+def icao24(user_id: Column) -> Column:
+    return F.lpad(F.lower(F.hex(user_id)), 6, "0")
 
 
-def icao24(user_id: Column) -> Column:
-    return F.format_string("%06x", user_id)
+def _literal(value: Column) -> Column:
+    """JSON text of a number or boolean."""
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
+def _quoted(value: Column) -> Column:
+    """JSON text of a string without special characters."""
+    return F.concat(F.lit('"'), value, F.lit('"'))
 
 
 def state_array() -> Column:
@@ -56,29 +69,31 @@ def state_array() -> Column:
     numeric slot and one in 6 an unknown position source.
     """
     e, value = _id(), F.col("value")
-    seconds = F.unix_timestamp("ts")
+    seconds = F.unix_timestamp("ts").cast("string")
     k = F.get_json_object("props", "$.k").cast("double")
-    aircraft = F.when(e % 89 == 0, F.lit(None)).when(e % 97 == 0, "").otherwise(icao24(F.col("user_id")))
+    aircraft = F.when(e % 89 == 0, "null").when(e % 97 == 0, '""').otherwise(_quoted(icao24(F.col("user_id"))))
     sensors = F.slice(F.array("user_id", e % 7, F.lit(1).cast("bigint")), F.lit(1), (e % 4).cast("int"))
     slots = [
-        _inner(
-            aircraft,
-            F.concat("event_type", F.lit("  ")),
-            F.concat(F.lit("NATION_"), (F.col("user_id") % 30).cast("string")),
-        ),
-        _inner(F.when(e % 53 == 0, 0).otherwise(seconds), seconds),
-        _inner(_unless(e % 10 == 0, value - 180), _unless(e % 15 == 0, value * 0.5 - 80), k * 100),
-        _inner(F.col("event_type") == "error"),
-        F.when(e % 71 == 0, F.lit('"n/a"')).otherwise(_inner(value)),
-        _inner((e % 360).cast("double"), k - 50),
-        F.to_json(sensors),
-        _inner(k * 100 + 10),
-        _inner(F.lpad((e % 7777).cast("string"), 4, "0")),
+        aircraft,
+        _quoted(F.concat("event_type", F.lit("  "))),
+        _quoted(F.concat(F.lit("NATION_"), (F.col("user_id") % 30).cast("string"))),
+        F.when(e % 53 == 0, "0").otherwise(seconds),
+        seconds,
+        _literal(_unless(e % 10 == 0, value - 180)),
+        _literal(_unless(e % 15 == 0, value * 0.5 - 80)),
+        _literal(k * 100),
+        _literal(F.col("event_type") == "error"),
+        F.when(e % 71 == 0, '"n/a"').otherwise(_literal(value)),
+        _literal((e % 360).cast("double")),
+        _literal(k - 50),
+        F.concat(F.lit("["), F.array_join(sensors.cast("array<string>"), ","), F.lit("]")),
+        _literal(k * 100 + 10),
+        _quoted(F.lpad((e % 7777).cast("string"), 4, "0")),
         F.lit("false"),
     ]
     last = F.when(e % 83 == 0, "").otherwise(F.concat(F.lit(","), (e % 6).cast("string")))
     array = F.concat(F.lit("["), F.concat_ws(",", *slots), last, F.lit("]"))
-    return F.when(e % 997 == 0, F.lit('"no array"')).otherwise(array)
+    return F.when(e % 997 == 0, '"no array"').otherwise(array)
 
 
 def _text_id(number: Column) -> Column:
@@ -126,7 +141,7 @@ def envelopes(good: DataFrame) -> DataFrame:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     first_seen = F.col("o_orderdate").cast("timestamp")
     flown = F.make_dt_interval(hours=(key % 12 + 1).cast("int"))

@@ -40,8 +40,6 @@ ENRICHED_PASS_THROUGH = [
 ]
 ENRICHED_FIELDS = [*ENRICHED_PASS_THROUGH, "event_time", "location"]
 
-SNAPSHOT_SCHEMA = "time BIGINT, states ARRAY<ARRAY<STRING>>"
-
 ENVELOPE_SCHEMA = "recordId STRING, data STRING"
 
 COUNTRY_SCHEMA = (

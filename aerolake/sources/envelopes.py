@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from aerolake.schemas import STATE_JSON_SCHEMA
-
-_CORRUPT = "_corrupt"
-_SCHEMA = T.StructType([*STATE_JSON_SCHEMA, T.StructField(_CORRUPT, T.StringType())])
+from aerolake.functions.json import json_value
 
 
 def decoded_text(data: Column) -> Column:
@@ -25,17 +21,13 @@ def decoded_text(data: Column) -> Column:
 
 
 def decode_envelope(envelopes: DataFrame) -> DataFrame:
-    """Adds ``record`` (struct of the state fields), null where the record is unreadable."""
+    """Adds ``record``, a VARIANT object; null where the record is unreadable."""
     text = decoded_text(F.col("data"))
-    return (
-        envelopes.withColumn("_text", text)
-        .withColumn("_parsed", F.from_json("_text", _SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT}))
-        .withColumn(
-            "record",
-            F.when(
-                F.col(f"_parsed.{_CORRUPT}").isNull() & F.rtrim("_text").endswith("}"),
-                F.struct(*[F.col(f"_parsed.{f}") for f in STATE_JSON_SCHEMA.names]),
-            ),
-        )
-        .drop("_text", "_parsed")
-    )
+    is_object = F.ltrim(text).startswith("{") & F.rtrim(text).endswith("}")
+    return envelopes.withColumn("record", F.when(is_object, json_value(text)))
+
+
+def field(record: Column, name: str, kind: str = "variant") -> Column:
+    """A field of a record; null if it is absent, null or not of this kind."""
+    value = F.try_variant_get(record, f"$.{name}", kind)
+    return F.when(~F.is_variant_null(value), value) if kind == "variant" else value

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.schemas import SNAPSHOT_SCHEMA
+from aerolake.functions.json import json_value
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -22,25 +22,16 @@ def read_snapshots_stream(spark: SparkSession, path: str, max_files: int | None
     return files.select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("body"))
 
 
-def parsed_states(body: Column) -> Column:
-    """The positional arrays of a body, every slot as JSON text.
-
-    An element that is not an array makes the strict schema fail as a whole. Only such
-    bodies go through the second, element-wise parse, where that element becomes null.
-    """
-    strict = F.from_json(body, SNAPSHOT_SCHEMA)["states"]
-    by_element = F.transform(
-        F.from_json(body, "states ARRAY<STRING>")["states"],
-        lambda element: F.from_json(element, "array<string>"),
-    )
-    return F.coalesce(strict, by_element)
+def state_arrays(body: Column) -> Column:
+    """ARRAY<VARIANT> of the elements of ``states``; null if there is no such list."""
+    return F.try_variant_get(json_value(body), "$.states", "array<variant>")
 
 
 def explode_states(snapshots: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """One row (snapshot_id, pos, raw) per positional array, in array order.
+    """One row (snapshot_id, pos, raw) per element of ``states``, in array order.
 
-    Missing or null ``states`` and unreadable bodies give no row, or with
-    ``keep_empty`` a single row with null ``pos``.
+    ``raw`` is a VARIANT, so an element of any shape passes. Missing or null ``states``
+    and unreadable bodies give no row, or with ``keep_empty`` one with null ``pos``.
     """
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    return snapshots.select("snapshot_id", explode(parsed_states(F.col("body"))).alias("pos", "raw"))
+    return snapshots.select("snapshot_id", explode(state_arrays(F.col("body"))).alias("pos", "raw"))
