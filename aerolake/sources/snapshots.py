@@ -10,15 +10,15 @@ from aerolake.functions.json import json_value
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Columns snapshot_id (the file) and body."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("body"))
 
 
 def read_snapshots_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.text(path)
+    files = reader.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("body"))
 
 
