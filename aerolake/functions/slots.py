@@ -2,8 +2,11 @@
 
 The array is a VARIANT, so every slot still knows whether it is text, a number, a
 boolean or a container. A cast yields null both for an absent and for an uncastable
-value; the ``*_is_bad`` companions tell the two apart, so that a bad slot can reject
-its row. All expressions are compiled by Spark; none uses a lambda, which would not be.
+value; the ``*_is_bad`` companions tell the two apart, so that a bad slot can reject its
+row.
+
+The expressions are kept short, and what common values need comes first: all of them
+end up in one compiled method, and the JVM does not optimise a method that is too long.
 """
 
 from __future__ import annotations
@@ -21,7 +24,13 @@ WHITESPACE = (
 # JSON texts that count as no value.
 EMPTY_JSON = ["0", "0.0", "-0.0", "false", '""', "[]", "{}"]
 
-# Seconds of 0001-01-01 and of 10000-01-01: the years a time may lie in.
+# JSON texts of the position source codes.
+SOURCE_CODES = {
+    "0": 0, "1": 1, "2": 2, "3": 3, "4": 4,
+    "0.0": 0, "1.0": 1, "2.0": 2, "3.0": 3, "4.0": 4, "false": 0, "true": 1,
+}
+
+# Seconds of 0001-01-01 and of 10000-01-01, between which a time may lie.
 FIRST_SECOND, END_SECOND = -62135596800, 253402300800
 
 
@@ -59,34 +68,37 @@ def number(raw: Column, slot: int) -> Column:
 
 
 def number_is_bad(raw: Column, slot: int) -> Column:
-    return number(raw, slot).isNull() & text(raw, slot).isNotNull()
+    return number(raw, slot).isNull() & (json_text(raw, slot) != "null")
 
 
 def flag(raw: Column, slot: int) -> Column:
     """BOOLEAN: whether there is a value; never bad."""
-    value = json_text(raw, slot)
-    return F.when(value != "null", ~value.isin(EMPTY_JSON))
+    json = json_text(raw, slot)
+    return F.when(json != "null", ~json.isin(EMPTY_JSON))
+
+
+def _is_time(seconds: Column) -> Column:
+    middle, reach = (END_SECOND + FIRST_SECOND) / 2, (END_SECOND - FIRST_SECOND) / 2
+    return F.abs(seconds - middle) < reach
 
 
 def epoch_to_ts(raw: Column, slot: int) -> Column:
     """TIMESTAMP of epoch seconds with an optional fraction; 0 and '' are null."""
-    micros = F.rint(number(raw, slot) * 1e6)
-    usable = (micros >= FIRST_SECOND * 1e6) & (micros < END_SECOND * 1e6) & (micros != 0)
-    return F.timestamp_micros(F.when(usable, micros.cast("bigint")))
+    seconds = number(raw, slot)
+    usable = _is_time(seconds) & ~json_text(raw, slot).isin(EMPTY_JSON)
+    return F.timestamp_micros(F.when(usable, F.rint(seconds * 1e6).cast("bigint")))
 
 
 def epoch_is_bad(raw: Column, slot: int) -> Column:
     """Text, or a number outside the years a time may have."""
-    value = json_text(raw, slot)
-    seconds = value.try_cast("double")
-    usual = F.coalesce(F.abs(seconds) < -FIRST_SECOND, F.lit(False))
-    late = F.coalesce((seconds > 0) & (F.rint(seconds * 1e6) < END_SECOND * 1e6), F.lit(False))
-    return value.isNotNull() & ~(usual | late | value.isin(*EMPTY_JSON, "true", "null"))
+    json = json_text(raw, slot)
+    usable = F.coalesce(_is_time(json.try_cast("double")), F.lit(False))
+    return ~usable & ~json.isin(*EMPTY_JSON, "true", "null")
 
 
 def sensor_ids(raw: Column, slot: int) -> Column:
     """ARRAY<BIGINT>; an empty list is null, a fraction is cut off."""
-    return F.when(~json_text(raw, slot).isin(*EMPTY_JSON, "null"), typed(raw, slot, "array<bigint>"))
+    return F.when(~json_text(raw, slot).isin(EMPTY_JSON), typed(raw, slot, "array<bigint>"))
 
 
 def sensors_are_bad(raw: Column, slot: int) -> Column:
@@ -99,11 +111,9 @@ def sensors_are_bad(raw: Column, slot: int) -> Column:
 
 def position_source(raw: Column, slot: int) -> Column:
     """INT code 0 to 4; code text is not a code."""
-    value = json_text(raw, slot)
-    code = F.when(~value.startswith('"'), number(raw, slot))
-    return F.when(code.isin(0.0, 1.0, 2.0, 3.0, 4.0), code.cast("int"))
+    pairs = [F.lit(x) for pair in SOURCE_CODES.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), json_text(raw, slot))
 
 
 def position_source_is_bad(raw: Column, slot: int) -> Column:
-    known = json_text(raw, slot).isin("0", "1", "2", "3", "4", "null")
-    return ~known & position_source(raw, slot).isNull()
+    return position_source(raw, slot).isNull() & (json_text(raw, slot) != "null")

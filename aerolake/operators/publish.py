@@ -112,25 +112,46 @@ def deliver(
 
     ``records`` has snapshot_id, pos, key and value. ``send`` takes one chunk and
     returns how many of its records failed; an exception fails the chunk and the others
-    go on. A group is one chunk, so its size is bounded. Write the result once: every
-    evaluation sends again, and so does a lost executor, hence receivers drop repeats
-    by (icao24, last_contact).
+    go on. A task holds one chunk at a time. Write the result once: every evaluation
+    sends again, and so does a lost executor, hence receivers drop repeats by (icao24,
+    last_contact).
     """
+    import pandas as pd
 
-    def send_chunk(key, chunk):
-        import pandas as pd
+    names = ["snapshot_id", "batch_no", "records", "sent", "failed", "ok"]
 
-        chunk = chunk.sort_values("seq")
+    def outcome(chunk_id, chunk):
         try:
-            failed = int(send(list(zip(chunk["key"], chunk["value"]))))
+            failed = int(send(chunk))
         except Exception:
             failed = len(chunk)
-        row = (key[0], key[1], len(chunk), len(chunk) - failed, failed, failed == 0)
-        return pd.DataFrame([row], columns=["snapshot_id", "batch_no", "records", "sent", "failed", "ok"])
-
-    numbered = number_in_order(records).withColumn("snapshot_id", F.col("snapshot_id").cast("string"))
-    chunks = numbered.groupBy("snapshot_id", F.floor(F.col("seq") / chunk_size).alias("batch_no"))
-    return chunks.applyInPandas(send_chunk, LEDGER_SCHEMA)
+        return (*chunk_id, len(chunk), len(chunk) - failed, failed, failed == 0)
+
+    def send_sorted(batches):
+        current, chunk = None, []
+        for batch in batches:
+            done = []
+            columns = [batch[c] for c in ("snapshot_id", "batch_no", "key", "value")]
+            for snapshot_id, batch_no, key, value in zip(*columns):
+                if (snapshot_id, batch_no) != current:
+                    if chunk:
+                        done.append(outcome(current, chunk))
+                    current, chunk = (snapshot_id, batch_no), []
+                chunk.append((key, value))
+            yield pd.DataFrame(done, columns=names)
+        if chunk:
+            yield pd.DataFrame([outcome(current, chunk)], columns=names)
+
+    chunks = number_in_order(records).select(
+        F.col("snapshot_id").cast("string").alias("snapshot_id"),
+        F.floor(F.col("seq") / chunk_size).alias("batch_no"),
+        "seq", "key", "value",
+    )
+    # One chunk lies in one task, next to each other and in order.
+    placed = chunks.repartition("snapshot_id", "batch_no").sortWithinPartitions(
+        "snapshot_id", "batch_no", "seq"
+    )
+    return placed.mapInPandas(send_sorted, LEDGER_SCHEMA)
 
 
 def publish_key_counts(states: DataFrame) -> DataFrame:
