@@ -61,17 +61,12 @@ def _block_no(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000))
 
 
-def _segmented_blocks(points: DataFrame, gap_seconds: int | None) -> DataFrame:
-    """One row per key and block with its segment number.
+def _segmented(blocks: DataFrame, gap_seconds: int | None) -> DataFrame:
+    """Numbers the segments of rows (key, block, first_ts, last_ts, points).
 
-    The windows below run over blocks, of which a key has as many as its time span has
-    gap lengths.
+    The window runs over blocks, of which a key has as many as its time span has gap
+    lengths.
     """
-    blocks = points.groupBy(*KEY, _block_no(F.col("timestamp"), gap_seconds or _DAY).alias("block")).agg(
-        F.min("timestamp").alias("first_ts"),
-        F.max("timestamp").alias("last_ts"),
-        F.count("*").alias("points"),
-    )
     if gap_seconds is None:
         return blocks.withColumn("segment", F.lit(0).cast("bigint"))
     by_time = Window.partitionBy(*KEY).orderBy("block")
@@ -84,8 +79,13 @@ def _segmented_blocks(points: DataFrame, gap_seconds: int | None) -> DataFrame:
 
 def track_segments(points: DataFrame, gap_seconds: int) -> DataFrame:
     """Tracks cut where more than ``gap_seconds`` pass without a point."""
+    blocks = points.groupBy(*KEY, _block_no(F.col("timestamp"), gap_seconds).alias("block")).agg(
+        F.min("timestamp").alias("first_ts"),
+        F.max("timestamp").alias("last_ts"),
+        F.count("*").alias("points"),
+    )
     return _with_durations(
-        _segmented_blocks(points, gap_seconds)
+        _segmented(blocks, gap_seconds)
         .groupBy(*KEY, "segment")
         .agg(
             F.min("first_ts").alias("start_time"),
@@ -107,7 +107,8 @@ def _parts(points: DataFrame, gap_seconds: int | None, max_points: int) -> DataF
     """Segment and first part of every (key, instant), with the number of points there.
 
     The points before an instant are those of earlier blocks of the segment plus those
-    of earlier instants of its block; both are sums over counts.
+    of earlier instants of its block; both are sums over counts. Instants and blocks come
+    from one shuffle, which Spark reuses.
     """
     before = (Window.unboundedPreceding, -1)
     in_block = Window.partitionBy(*KEY, "block").orderBy("timestamp").rowsBetween(*before)
@@ -116,11 +117,16 @@ def _parts(points: DataFrame, gap_seconds: int | None, max_points: int) -> DataF
         points.groupBy(*KEY, "timestamp")
         .agg(F.count("*").alias("here"))
         .withColumn("block", _block_no(F.col("timestamp"), gap_seconds or _DAY))
-        .withColumn("in_block", F.coalesce(F.sum("here").over(in_block), F.lit(0)))
     )
-    blocks = _segmented_blocks(points, gap_seconds).withColumn(
+    blocks = instants.groupBy(*KEY, "block").agg(
+        F.min("timestamp").alias("first_ts"),
+        F.max("timestamp").alias("last_ts"),
+        F.sum("here").alias("points"),
+    )
+    blocks = _segmented(blocks, gap_seconds).withColumn(
         "earlier", F.coalesce(F.sum("points").over(in_segment), F.lit(0))
     )
+    instants = instants.withColumn("in_block", F.coalesce(F.sum("here").over(in_block), F.lit(0)))
     return instants.alias("i").join(blocks.alias("b"), _same_key("i", "b", "block")).select(
         *[f"i.{k}" for k in KEY],
         "i.timestamp", "i.here", "b.segment",
