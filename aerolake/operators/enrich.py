@@ -41,15 +41,27 @@ def enrich_projection(states: DataFrame, processed_at: Column | None = None) ->
     )
 
 
-def _coordinate_text(record: Column, name: str) -> Column:
+_COORDINATES = ("latitude", "longitude")
+
+
+def _with_coordinates(decoded: DataFrame) -> DataFrame:
+    """Adds JSON text, number and type of both coordinates, each read once per record."""
+    record, columns = F.col("record"), {}
+    for name in _COORDINATES:
+        value = field(record, name)
+        columns[f"_{name}_json"] = F.nullif(F.to_json(value), F.lit("null"))
+        columns[f"_{name}_number"] = field(record, name, "double")
+        columns[f"_{name}_type"] = F.schema_of_variant(value)
+    return decoded.withColumns(columns)
+
+
+def _coordinate_text(name: str) -> Column:
     """Text of a coordinate as the record has it: whole number, fraction or text."""
-    json = F.to_json(field(record, name))
-    number = field(record, name, "double")
-    is_text = json.startswith('"') & ~F.coalesce(F.abs(number) == float("inf"), F.lit(False)) & ~F.coalesce(F.isnan(number), F.lit(False))
-    is_whole = F.schema_of_variant(field(record, name)) == "BIGINT"
+    json, number = F.col(f"_{name}_json"), F.col(f"_{name}_number")
+    is_constant = F.coalesce(F.isnan(number) | (F.abs(number) == float("inf")), F.lit(False))
     return (
-        F.when(is_text, field(record, name, "string"))
-        .when(is_whole, json)
+        F.when(json.startswith('"') & ~is_constant, field(F.col("record"), name, "string"))
+        .when(F.col(f"_{name}_type") == "BIGINT", json)
         .otherwise(F.coalesce(text.float_text(number), json))
     )
 
@@ -61,16 +73,16 @@ def enrich_outcome(envelopes: DataFrame, processed_at: Column | None = None) ->
     whatever type they came with. ``data`` is the input, kept for the error sink.
     """
     record = F.col("record")
-    missing = field(record, "latitude").isNull() | field(record, "longitude").isNull()
+    missing = F.col("_latitude_json").isNull() | F.col("_longitude_json").isNull()
     result = F.when(record.isNull(), FAILED).when(missing, DROPPED).otherwise(OK)
     enriched = {name: field(record, name) for name in ENRICHED_PASS_THROUGH}
     enriched["event_time"] = text.event_time_text(processing_time(processed_at))
-    enriched["location"] = F.concat(
-        _coordinate_text(record, "latitude"), F.lit(","), _coordinate_text(record, "longitude")
-    )
+    enriched["location"] = F.concat_ws(",", *[_coordinate_text(name) for name in _COORDINATES])
     value = text.json_with_nulls(F.struct(*[enriched[n].alias(n) for n in ENRICHED_FIELDS]))
-    return decode_envelope(envelopes).select(
-        "recordId", "data", result.alias("result"), F.when(result == OK, value).alias("value")
+    return (
+        _with_coordinates(decode_envelope(envelopes))
+        .withColumn("result", result)
+        .select("recordId", "data", "result", F.when(F.col("result") == OK, value).alias("value"))
     )
 
 

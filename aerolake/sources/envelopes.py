@@ -28,6 +28,5 @@ def decode_envelope(envelopes: DataFrame) -> DataFrame:
 
 
 def field(record: Column, name: str, kind: str = "variant") -> Column:
-    """A field of a record; null if it is absent, null or not of this kind."""
-    value = F.try_variant_get(record, f"$.{name}", kind)
-    return F.when(~F.is_variant_null(value), value) if kind == "variant" else value
+    """A field of a record as ``kind``; null if it is absent or does not fit."""
+    return F.try_variant_get(record, f"$.{name}", kind)
