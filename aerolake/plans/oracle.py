@@ -191,7 +191,7 @@ def oracle_sql() -> dict[str, str]:
     }
     over_feed = {
         "enrich_states": f"SELECT {_ENRICHED}, {_EVENT_TIME} AS event_time FROM states WHERE {_POSITIONED}",
-        "decode_states": f"SELECT snapshot_id, pos, {_STATE} FROM states",
+        "decode_states": f"SELECT snapshot_id, CAST(pos AS INTEGER) AS pos, {_STATE} FROM states",
         "malformed_counts": """
             SELECT coalesce(reject_reason, 'good') AS reason, count(*) AS rows FROM feed GROUP BY 1""",
         "quarantine_rows": """
@@ -292,7 +292,7 @@ def oracle_sql() -> dict[str, str]:
                    || ' (Limite: 1)' || chr(10) || 'Recurso: events' || chr(10) || 'Ação Recomendada: -' AS message
             FROM idle""",
         "feed_lag": """
-            SELECT 'iterator_age_ms' AS metric, 'states' AS source, 1706745600 AS period_start,
+            SELECT 'iterator_age_ms' AS metric, 'states' AS source, CAST(1706745600 AS BIGINT) AS period_start,
                    CAST((1706745600 - min(last_contact)) * 1000 AS DOUBLE) AS value
             FROM states""",
         "retention": """
