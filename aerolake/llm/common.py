@@ -7,8 +7,11 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructField, StructType
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -71,3 +74,21 @@ def by_frame(df: DataFrame, step: Callable[[pd.DataFrame], pd.DataFrame], schema
                 yield step(frame)
 
     return df.mapInPandas(run, schema)
+
+
+def mapped(
+    df: DataFrame, column: str, made: dict[str, DataType], step: Callable[[list], list[list]], keep: list[str] | None = None
+) -> DataFrame:
+    """The kept columns (all, unless named) and those that step makes of the values of one column, batch by batch."""
+    ready(df.sparkSession)
+    names = [c for c in (df.columns if keep is None else keep) if c.lower() not in {m.lower() for m in made}]
+    kinds = [to_arrow_type(kind) for kind in made.values()]
+    picked = df.select(F.col(f"`{column}`").alias("__value"), *[F.col(f"`{c}`") for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = step(batch.column(0).to_pylist())
+            new = [pa.array(v, kind) for v, kind in zip(values, kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=[*names, *made])
+
+    return picked.mapInArrow(run, StructType([*picked.schema.fields[1:], *[StructField(n, k) for n, k in made.items()]]))
