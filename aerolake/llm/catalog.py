@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import bpe, languages, lines, packing, sharding
+from aerolake.llm import bpe, languages, lines, minhash, packing, sharding
 from aerolake.llm.common import ready
 
 
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, similarity=85)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(_table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_sharding, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
+    named = (op1_sharding, op2_minhash_dedup, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
     return {f.__name__: f for f in named}
 
 

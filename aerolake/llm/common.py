@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,3 +93,52 @@ def mapped(
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=[*names, *made])
 
     return picked.mapInArrow(run, StructType([*picked.schema.fields[1:], *[StructField(n, k) for n, k in made.items()]]))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of rows sorted by the first ``keys`` columns, and where each group starts."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(len(table), dtype=bool)
+        new[:1] = True
+        for k in range(keys):
+            column = table.column(k).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        waiting.append(batch)
+        size += len(batch)
+        if size >= rows:
+            table = pa.Table.from_batches(waiting).combine_chunks()
+            at = starts(table)
+            if at[-1]:
+                yield table[: at[-1]], at[:-1]
+                table = table[at[-1] :].combine_chunks()
+            waiting, size = table.to_batches(), len(table) if at[-1] else 0
+    if waiting and sum(map(len, waiting)):
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        yield table, starts(table)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that links reach from each node of (a, b).
+
+    Alternates large stars and small stars (every node tells its neighbours the smallest one), each
+    round written to the shared folder, until nothing changes. Only two numbers go to the driver.
+    """
+    pairs = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    pairs, before = stored(pairs, "links"), None
+    while (now := tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())) != before:
+        before = now
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "links")
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )
