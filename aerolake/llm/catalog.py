@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import bpe, caps, languages, lines, minhash, packing, sharding, vptree
+from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, toxicity, vptree
 from aerolake.llm.common import ready
 
 
@@ -26,6 +26,14 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -47,7 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op6_vp_trees, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
+    named = (op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op4_toxicity, op5_quality, op6_vp_trees, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
     return {f.__name__: f for f in named}
 
 
