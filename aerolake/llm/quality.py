@@ -26,9 +26,13 @@ LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1e6
 # Small letters and all bytes beyond ASCII look alike, so do capitals and digits; other bytes stay.
 _SHAPE = bytes(97 if 97 <= b <= 122 or b >= 128 else 66 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256))
 
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
+#: A slot for each tenth of repeated pairs of neighbouring words, and one for texts without pairs.
+_REPEATED = [int(word_hashes(b"repeated:%d" % k)[0] >> np.uint64(64 - linear.SLOT_BITS)) for k in range(11)]
+
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the word shapes, with the square root of their share of all words."""
+    """Slots of the word shapes, with the square root of their share of all words, and that of the share of repeated word pairs."""
     data = np.frombuffer((text or "").encode().translate(_SHAPE), dtype=np.uint8)
     # Capitals become 'x', since hashing words drops case; runs of one kind of letter become one.
     data = np.where(data == 66, 120, data)
@@ -37,7 +41,10 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     stay[1:] = ~letter[1:] | (data[1:] != data[:-1])
     shapes = word_hashes(data[stay].astype(np.uint8).tobytes())
     slots, counts = np.unique((shapes >> np.uint64(64 - linear.SLOT_BITS)).astype(np.int64), return_counts=True)
-    return slots, np.sqrt(counts / max(1, counts.sum()))
+    words = word_hashes((text or "").encode())
+    pairs = words[:-1] * _PAIR + words[1:]
+    repeated = int(10 * (1 - len(np.unique(pairs)) / len(pairs))) if len(pairs) else 10
+    return np.append(slots, _REPEATED[repeated]), np.append(np.sqrt(counts / max(1, counts.sum())), 1.0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = linear.SAMPLE_ROWS) -> tuple[linear.Linear, float]:
