@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, toxicity, vptree
 from aerolake.llm.common import ready
+from aerolake.llm.oracle import oracle_sql  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +58,3 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op4_toxicity, op5_quality, op6_vp_trees, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
     return {f.__name__: f for f in named}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
