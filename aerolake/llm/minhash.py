@@ -6,9 +6,11 @@ others, one batch of signature bytes after the other; a pair goes when the poste
 that it is similar enough falls below the miss probability. Those that survive are
 confirmed on the full sets.
 
-A bucket only has to yield enough links to connect what is connected. A first pass links each
-class to one pivot, so a group of copies gives a link each, not all pairs. Where confirmed links
-then leave a bucket in several components, a second pass compares all its pairs across components.
+Only what is connected matters, so no step lists all pairs of a group. In a bucket, each class is tied
+to one pivot that it survives against; buckets whose ties leave several families are
+searched once more for surviving pairs between them. So no surviving pair is split between
+families, and families, in chunks, are where full sets are compared: pairs that confirmed links
+already connect are skipped, all others are compared.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
+from pyspark.sql.window import Window
 
 from aerolake.llm.common import components, mapped, ready, stored, whole_groups
 
@@ -34,8 +37,11 @@ BAND_MISS = 1e-6
 PRUNE_MISS = 1e-6
 #: Looks at a pair's signature before it is confirmed.
 LOOKS = 5
-#: Classes of a bucket that one task compares with each other.
+#: Classes of a bucket or family, and shingles of a family, that one task compares with each other.
 CHUNK = 1024
+CHUNK_SHINGLES = 1 << 20
+#: Classes of a large family that are compared with all its chunks first.
+PIVOTS = 8
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -207,46 +213,125 @@ def _first_pass(members: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int
     return together.mapInArrow(run, "bucket long, a long, b long, n long")
 
 
-def _second_pass(members: DataFrame, known: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int]], chunk: int) -> DataFrame:
-    """(a, b): surviving pairs of a bucket between different components.
+def _between_families(members: DataFrame, families: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int]], chunk: int) -> DataFrame:
+    """(a, b): for each bucket, surviving pairs that connect what families of it survive against each other.
 
-    Rows outside the bucket's largest component meet all rows of the bucket.
+    Classes outside the bucket's largest family meet all classes of the bucket.
     """
-    rows = members.join(known.withColumnRenamed("component", "known"), "node", "left").select("bucket", "node", F.coalesce("known", "node").alias("part"))
-    parts = rows.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("main"), F.sum("size").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    rows = stored(rows.join(main, "bucket").select("bucket", "node", "part", F.ceil(F.col("n") / chunk).alias("chunks"), (F.col("part") != F.col("main.part")).alias("small")), "minhash-open")
-    right = rows.select("bucket", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node", "part", F.lit(False).alias("asks"))
-    left = rows.where("small").select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "node", "part", F.lit(True).alias("asks"))
+    rows = members.join(families, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    rows = _asking(rows, "bucket", F.ceil(F.col("n") / chunk))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, 2):
-            ids, part, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("node", "part", "asks"))
-            matrix = _matrix(table.column("sig"))
+            ids, part, asks = (table.column(c).to_numpy() for c in ("node", "part", "asks"))
+            matrix, out = _matrix(table.column("sig")), []
             for at, end in zip(starts, np.append(starts[1:], len(ids))):
-                them = at + np.flatnonzero(~asks[at:end])
-                a, b = [], []
-                for i in at + np.flatnonzero(asks[at:end]):
-                    other = them[part[them] != part[i]]
-                    found = other[surviving(np.broadcast_to(matrix[i], (len(other), HASHES)), matrix[other], bounds)]
-                    a.append(np.minimum(ids[i], ids[found]))
-                    b.append(np.maximum(ids[i], ids[found]))
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    together = left.unionByName(right).join(sigs, "node").select("bucket", "chunk", "node", "part", "asks", "sig")
+                label, there = np.unique(part[at:end], return_inverse=True)[1], ~asks[at:end]
+                for i in np.flatnonzero(asks[at:end]):
+                    other = np.flatnonzero(there & (label != label[i]))
+                    other = other[surviving(np.broadcast_to(matrix[at + i], (len(other), HASHES)), matrix[at + other], bounds)]
+                    for o in other:
+                        if label[o] != label[i]:
+                            out.append((ids[at + i], ids[at + o]))
+                            label[label == label[o]] = label[i]
+            yield _pairs(out)
+
+    together = rows.join(sigs, "node").select("bucket", "chunk", "node", "part", "asks", "sig")
     return together.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, in whole numbers."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(involved, "doc_id", "left_semi")
-    sets = mapped(texts, "text", {"shingles": ArrayType(LongType())}, lambda ts: [[shingle_set(t, words).view(np.int64) for t in ts]])
-    sets = stored(sets.dropDuplicates(["doc_id", "shingles"]), "minhash-sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("sizes")).where(100 * F.col("shared") >= similarity * (F.col("sizes") - F.col("shared"))).select("a", "b")
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _asking(rows: DataFrame, group: str, chunks: Column) -> DataFrame:
+    """(group, chunk, node, part, asks): all rows of groups with several parts in chunks, and those outside a group's largest part once for each chunk.
+
+    ``chunks`` is the number of chunks, from the number ``n`` of a group's rows.
+    """
+    parts = rows.groupBy(group, "part").agg(F.count(F.lit(1)).alias("size"))
+    main = parts.groupBy(group).agg(F.max(F.struct("size", "part")).alias("main"), F.sum("size").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rows = rows.join(main, group).withColumn("chunks", chunks.cast("long"))
+    rows = stored(rows.select(group, "node", "part", "chunks", (F.col("part") != F.col("main.part")).alias("small")), "minhash-open")
+    right = rows.select(group, F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node", "part", F.lit(False).alias("asks"))
+    return right.unionByName(rows.where("small").select(group, _each_chunk(), "node", "part", F.lit(True).alias("asks")))
+
+
+def _each_chunk() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+
+
+def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], similarity: int) -> DataFrame:
+    """(a, b): exact links of (family, chunk, node, part, asks, there) that connect parts.
+
+    Those that ask are compared with the rows there of another part, unless links found before
+    connect them already: by size, by signature, then on the full sets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, 2, 2 * CHUNK):
+            ids, part, asks, there = (table.column(c).to_numpy() for c in ("node", "part", "asks", "there"))
+            raw, matrix, out = table.column("shingles").to_pylist(), _matrix(table.column("sig")), []
+            for at, end in zip(starts, np.append(starts[1:], len(ids))):
+                label = np.unique(part[at:end], return_inverse=True)[1]
+                sizes = np.array([len(x) // 8 for x in raw[at:end]])
+                stops = np.cumsum(sizes)
+                items = np.unique(np.frombuffer(b"".join(raw[at:end]), dtype=np.int64), return_inverse=True)[1]
+                sets = np.split(items, stops[:-1])
+                held = np.zeros(len(items), dtype=bool)
+                sigs, here = matrix[at:end], there[at:end]
+                order = _by_agreement(sigs)
+                for i in order[asks[at:end][order]]:
+                    other = np.flatnonzero(here & (label != label[i]))
+                    small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
+                    other = other[100 * small >= similarity * large]
+                    other = other[surviving(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], bounds)]
+                    held[sets[i]] = True
+                    for o in other:
+                        if label[o] != label[i]:
+                            shared = int(held[sets[o]].sum())
+                            if 100 * shared >= similarity * (int(sizes[i]) + int(sizes[o]) - shared):
+                                out.append((ids[at + i], ids[at + o]))
+                                label[label == label[o]] = label[i]
+                    held[sets[i]] = False
+            yield _pairs(out)
+
+    together = rows.join(facts, "node").select("family", "chunk", "node", "part", "asks", "there", "sig", "shingles")
+    return together.repartition("family", "chunk").sortWithinPartitions("family", "chunk", "node").mapInArrow(run, "a long, b long")
+
+
+def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int) -> DataFrame:
+    """(a, b): exact links that connect the classes (node, component) of each family as far as they are connected."""
+    texts = docs.join(families.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    sets = mapped(texts, "text", {"shingles": BinaryType()}, lambda ts: [[shingle_set(t, words).tobytes() for t in ts]])
+    facts = stored(sets.dropDuplicates().withColumnRenamed("doc_id", "node").join(classes.select("node", "sig"), "node"), "minhash-facts")
+    sized = families.withColumnRenamed("component", "family").join(facts.select("node", F.octet_length("shingles").alias("bytes")), "node")
+    sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = sizes.select("family", F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("bytes") / (8 * CHUNK_SHINGLES))).alias("chunks"))
+    rows = sized.select("family", "node").distinct().join(sizes, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    rows = stored(rows, "minhash-families")
+    alone = rows.select("family", "chunk", "node", F.col("node").alias("part"), F.lit(True).alias("asks"), F.lit(True).alias("there"))
+    found = stored(_confirm(alone, facts, bounds, similarity), "minhash-links")
+    large = rows.where("chunks > 1")
+    if large.isEmpty():
+        return found
+    # What chunks found by themselves is connected by those that had most links, then compared across chunks.
+    tied = found.select(F.col("a").alias("node")).join(large, "node").groupBy("family", "chunks", "node").agg(F.count(F.lit(1)).alias("ties"))
+    best = Window.partitionBy("family").orderBy(F.desc("ties"), "node")
+    pivots = tied.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PIVOTS).select("family", "node", _each_chunk())
+
+    def parts_of(links: DataFrame, of: DataFrame) -> DataFrame:
+        known = stored(components(links), "minhash-parts")
+        return of.join(known, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+
+    columns = ["family", "chunk", "node", "part", "asks", "there"]
+    asking = pivots.withColumns({"asks": F.lit(True), "there": F.lit(False)})
+    staying = large.withColumns({"asks": F.lit(False), "there": F.lit(True)})
+    both = parts_of(found, asking.select("family", "chunk", "node", "asks", "there").unionByName(staying.select("family", "chunk", "node", "asks", "there")))
+    found = found.unionByName(stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links"))
+    open_ = parts_of(found, large.select("family", "node", "chunks"))
+    open_ = _asking(open_, "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
+    return found.unionByName(stored(_confirm(open_.select(columns), facts, bounds, similarity), "minhash-links"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, chunk: int = CHUNK, band_rows: int | None = None) -> DataFrame:
@@ -299,15 +384,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
         links = links.unionByName(level.where("b is not null").select("a", "b"))
         heads = level.where("b is null").select("bucket", F.col("a").alias("node")).distinct()
         waiting, before = heads.count(), waiting
-    once = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
-    tried = stored(once, "minhash-tried")
-    confirmed = _confirmed(tried, docs, words, similarity).unionByName(_same_id(rows, classes))
-    confirmed = stored(confirmed, "minhash-confirmed")
-    known = stored(components(confirmed), "minhash-known")
-    open_ = _second_pass(members.join(live.distinct(), "bucket", "left_semi"), known, sigs, bounds, chunk).distinct()
-    more = stored(open_.where("a != b").join(tried, ["a", "b"], "left_anti"), "minhash-more")
-    if not more.isEmpty():
-        known = stored(components(confirmed.unionByName(_confirmed(more, docs, words, similarity))), "minhash-known")
+    ties = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-ties")
+    families = stored(components(ties), "minhash-apart")
+    more = _between_families(members.join(live.distinct(), "bucket", "left_semi"), families, sigs, bounds, chunk)
+    families = stored(components(ties.unionByName(more)), "minhash-together")
+    links = _links(families, docs, classes, bounds, words, similarity, chunk).unionByName(_same_id(rows, classes))
+    known = stored(components(links), "minhash-known")
     reps = classes.select("key", "node").join(known, "node", "left").select("key", F.coalesce("component", "node").alias("rep"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
     return (
