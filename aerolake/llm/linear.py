@@ -119,7 +119,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
     prior = ((total[1] or 0) + 1) / (total[0] + 2)
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "label")
-    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(chosen, "doc_id").select("text", "label"), prior
+    # At most 2 * rows ids: small enough to send to where the texts are.
+    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label"), prior
 
 
 def collected(rows: DataFrame, features, more=None) -> tuple[Rows, np.ndarray, Rows]:
