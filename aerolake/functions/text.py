@@ -11,10 +11,14 @@ UNKNOWN_KEY = "unknown"
 
 
 def ts_to_iso(ts: Column) -> Column:
-    """ISO text without zone; the fraction is left out when it is zero."""
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(F.unix_micros(ts) % 1_000_000 == 0, seconds).otherwise(micros)
+    """ISO text of the time in UTC, without zone; the fraction is left out when it is zero.
+
+    The session's time zone plays no part.
+    """
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    iso = F.replace(utc.cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(iso.contains("."), F.rpad(iso, 26, "0")).otherwise(iso)
 
 
 def event_time_text(ts: Column) -> Column:

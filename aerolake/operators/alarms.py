@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.functions.text import ts_to_iso
+
 LAG, INCOMING, THROTTLED, ERRORS, THROTTLED_REQUESTS = (
     "iterator_age_ms", "incoming_records", "throttled_records", "errors", "throttled_requests",
 )
@@ -52,9 +54,6 @@ ALARMS = {
     ]
 }
 
-# The rollup period of the overview, in seconds.
-OVERVIEW_PERIOD = 10
-
 # The layout of an alert text.
 ALERT_TEXT = (
     "[ALERTA] %s\n"
@@ -187,7 +186,7 @@ def _number_text(value: Column) -> Column:
 
 def format_alert(alarms: DataFrame, spec: AlarmSpec) -> DataFrame:
     """Adds ``message``, the alert text of a firing period."""
-    time = F.date_format("period_start", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    time = F.concat(ts_to_iso(F.col("period_start")), F.lit("Z"))
     fields = [
         F.lit(spec.name), time, F.lit(spec.description), F.col("metric"),
         F.coalesce(_number_text(F.col("value")), F.lit("-")), _number_text(F.lit(float(spec.threshold))),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions import slots
 from aerolake.schemas import STATE_FIELDS, STATE_SLOTS
+from aerolake.sources.snapshots import state_arrays
 
 _NUMBERS = ["longitude", "latitude", "altitude", "velocity", "heading", "vertical_rate", "geo_altitude"]
 _EPOCHS = ["time_position", "last_contact"]
@@ -76,6 +77,21 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     return bad.drop(*STATE_FIELDS).withColumn("raw", F.to_json("raw"))
 
 
+def sequenced_states(snapshots: DataFrame, country: str | None = None) -> DataFrame:
+    """Good states with ``seq``: 0, 1, 2, .. within each snapshot, without gaps.
+
+    Bad elements go while the array still lies in its body's row, so numbering needs no shuffle.
+    """
+
+    def wanted(raw: Column) -> Column:
+        good = reject_reason(raw).isNull()
+        return good if country is None else good & F.coalesce(decoded_slot(raw, "origin_country") == F.lit(country), F.lit(False))
+
+    arrays = F.filter(state_arrays(F.col("body")), wanted)
+    rows = snapshots.select("snapshot_id", F.posexplode(arrays).alias("seq", "raw"))
+    return rows.select("snapshot_id", "seq", *[decoded_slot(F.col("raw"), name).alias(name) for name in STATE_FIELDS])
+
+
 def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): every input row is in exactly one of them."""
     return good_states(decoded), quarantined(decoded)

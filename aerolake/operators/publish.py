@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions import text
 from aerolake.schemas import LEDGER_SCHEMA
+from aerolake.sources.snapshots import body_reason
 
 # Records per request.
 CHUNK_SIZE = 500
@@ -42,6 +43,9 @@ def partition_by_key(records: DataFrame, partitions: int, spread_seconds: int |
 def number_in_order(rows: DataFrame) -> DataFrame:
     """Adds ``seq``: 0, 1, 2, .. within each snapshot by ``pos``, without gaps.
 
+    For tables of records; states that still lie in their bodies are numbered without a
+    shuffle by ``sequenced_states``.
+
     Rows are numbered inside blocks of positions, and each block is shifted by the rows
     before it, a running sum over block counts. So no task ever sorts a whole snapshot.
     """
@@ -63,18 +67,25 @@ def number_in_order(rows: DataFrame) -> DataFrame:
     )
 
 
+def _place(records: DataFrame) -> str:
+    return "seq" if "seq" in records.columns else "pos"
+
+
+def _numbered(records: DataFrame) -> DataFrame:
+    return records if "seq" in records.columns else number_in_order(records)
+
+
 def delivery_ledger(
     records: DataFrame, chunk_size: int = CHUNK_SIZE, failed: Column | None = None
 ) -> DataFrame:
     """Per snapshot and chunk: how many records were sent and how many failed.
 
-    ``records`` has snapshot_id and pos of the published rows; ``failed`` is a boolean
-    of a row, by default false.
+    ``records`` has snapshot_id and seq, or else pos, of the published rows; ``failed`` is a
+    boolean of a row, by default false.
     """
     failed = F.lit(False) if failed is None else F.coalesce(failed, F.lit(False))
-    slim = records.select("snapshot_id", "pos", failed.alias("_failed"))
     return (
-        number_in_order(slim)
+        _numbered(records.select("snapshot_id", _place(records), failed.alias("_failed")))
         .groupBy("snapshot_id", F.floor(F.col("seq") / chunk_size).alias("batch_no"))
         .agg(F.count("*").alias("records"), F.count_if("_failed").alias("failed"))
         .select(
@@ -89,18 +100,19 @@ def delivery_ledger(
 
 
 def delivery_outcome(snapshots: DataFrame, ledger: DataFrame, has_target: bool = True) -> DataFrame:
-    """Per snapshot: did everything arrive. Nothing to send is fine, no target is not."""
+    """Per snapshot: did everything arrive. Nothing to send is fine; no target and an unreadable body are not."""
+    read = body_reason(F.col("body")).isNull() if "body" in snapshots.columns else F.lit(True)
     chunks = ledger.groupBy("snapshot_id").agg(
         F.count("*").alias("batches"), F.sum("sent").alias("sent"), F.bool_and("ok").alias("ok")
     )
     return (
-        snapshots.select("snapshot_id")
+        snapshots.select("snapshot_id", read.alias("_read"))
         .join(chunks, "snapshot_id", "left")
         .select(
             "snapshot_id",
             F.coalesce("batches", F.lit(0)).alias("batches"),
             F.coalesce("sent", F.lit(0)).alias("sent"),
-            (F.lit(has_target) & F.coalesce("ok", F.lit(True))).alias("ok"),
+            (F.lit(has_target) & F.col("_read") & F.coalesce("ok", F.lit(True))).alias("ok"),
         )
     )
 
@@ -110,7 +122,7 @@ def deliver(
 ) -> DataFrame:
     """Hands (key, value) rows to a client in chunks and returns the ledger.
 
-    ``records`` has snapshot_id, pos, key and value. ``send`` takes one chunk and
+    ``records`` has snapshot_id, seq or else pos, key and value. ``send`` takes one chunk and
     returns how many of its records failed; an exception fails the chunk and the others
     go on. A task holds one chunk at a time. Write the result once: every evaluation
     sends again, and so does a lost executor, hence receivers drop repeats by (icao24,
@@ -142,7 +154,7 @@ def deliver(
         if chunk:
             yield pd.DataFrame([outcome(current, chunk)], columns=names)
 
-    chunks = number_in_order(records).select(
+    chunks = _numbered(records).select(
         F.col("snapshot_id").cast("string").alias("snapshot_id"),
         F.floor(F.col("seq") / chunk_size).alias("batch_no"),
         "seq", "key", "value",

@@ -60,6 +60,13 @@ def snapshot_document(
     ).select("snapshot_id", "timestamp", F.size("states").cast("bigint").alias("total_states"), "states")
 
 
-def transform_summary(outcomes: DataFrame) -> DataFrame:
-    """Rows per result."""
-    return outcomes.groupBy("result").agg(F.count("*").alias("records"))
+ALL = "all"
+
+
+def transform_summary(outcomes: DataFrame, total: bool = False) -> DataFrame:
+    """Rows per result; with ``total`` also those of all results, 0 if there are none."""
+    counts = outcomes.groupBy("result").agg(F.count("*").alias("records"))
+    if not total:
+        return counts
+    whole = counts.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+    return counts.unionByName(whole.select(F.lit(ALL).alias("result"), "records"))

@@ -3,7 +3,8 @@
 No group here grows with the data. A track is cut at time gaps by looking at blocks of
 the gap's length only: two points of one block are closer than the gap, so a cut can
 only lie between blocks, and a block is just its first and last time and its count.
-Paths are arrays, so a track longer than ``max_points`` comes as several parts.
+Paths are arrays, so a track longer than ``max_points`` comes as several parts, each with
+the track's own times and, for a line without holes, the last point of the part before.
 """
 
 from __future__ import annotations
@@ -103,8 +104,8 @@ def _same_key(left: str, right: str, *more: str) -> Column:
     return condition
 
 
-def _parts(points: DataFrame, gap_seconds: int | None, max_points: int) -> DataFrame:
-    """Segment and first part of every (key, instant), with the number of points there.
+def _instants(points: DataFrame, gap_seconds: int | None) -> DataFrame:
+    """Segment of every (key, instant), with the points before it and those of the whole segment.
 
     The points before an instant are those of earlier blocks of the segment plus those
     of earlier instants of its block; both are sums over counts. Instants and blocks come
@@ -113,6 +114,7 @@ def _parts(points: DataFrame, gap_seconds: int | None, max_points: int) -> DataF
     before = (Window.unboundedPreceding, -1)
     in_block = Window.partitionBy(*KEY, "block").orderBy("timestamp").rowsBetween(*before)
     in_segment = Window.partitionBy(*KEY, "segment").orderBy("block").rowsBetween(*before)
+    segment = Window.partitionBy(*KEY, "segment")
     instants = (
         points.groupBy(*KEY, "timestamp")
         .agg(F.count("*").alias("here"))
@@ -123,41 +125,48 @@ def _parts(points: DataFrame, gap_seconds: int | None, max_points: int) -> DataF
         F.max("timestamp").alias("last_ts"),
         F.sum("here").alias("points"),
     )
-    blocks = _segmented(blocks, gap_seconds).withColumn(
-        "earlier", F.coalesce(F.sum("points").over(in_segment), F.lit(0))
-    )
+    blocks = _segmented(blocks, gap_seconds).withColumns({
+        "earlier": F.coalesce(F.sum("points").over(in_segment), F.lit(0)),
+        "total": F.sum("points").over(segment),
+        "start_time": F.min("first_ts").over(segment),
+        "end_time": F.max("last_ts").over(segment),
+    })
     instants = instants.withColumn("in_block", F.coalesce(F.sum("here").over(in_block), F.lit(0)))
     return instants.alias("i").join(blocks.alias("b"), _same_key("i", "b", "block")).select(
         *[f"i.{k}" for k in KEY],
-        "i.timestamp", "i.here", "b.segment",
-        F.floor((F.col("b.earlier") + F.col("i.in_block")) / max_points).alias("part"),
+        "i.timestamp", "b.segment", "b.total", "b.start_time", "b.end_time",
+        (F.col("b.earlier") + F.col("i.in_block")).alias("before"),
     )
 
 
 def assemble_tracks(
     points: DataFrame, gap_seconds: int | None = None, max_points: int = 10_000
 ) -> DataFrame:
-    """Rows (icao24, callsign, segment, part, start_time, end_time, points, path).
+    """Rows (icao24, callsign, segment, part, parts, start_time, end_time, points, path).
 
-    ``path`` is ordered by time, then snapshot and position. A segment of at most
-    ``max_points`` points is one row; a longer one is cut into parts that follow each
-    other in time. An instant with more points than that is itself spread by row
-    identity, so a part stays below about three times ``max_points``.
+    ``path`` is ordered by time, then snapshot and position. A segment comes in ``parts`` rows, of
+    ``max_points`` points each but for the last. Whatever that is, times and durations are
+    the segment's, ``points`` add up to its number, and the lines of the parts join, since
+    a part's path begins with the last point of the part before.
     """
-    piece = F.pmod(F.xxhash64("p.snapshot_id", "p.pos"), F.ceil(F.col("n.here") / max_points))
+    in_instant = Window.partitionBy(*[f"p.{k}" for k in KEY], "p.timestamp").orderBy("p.snapshot_id", "p.pos")
+    number = F.col("n.before") + F.row_number().over(in_instant) - 1
     placed = points.alias("p").join(
-        _parts(points, gap_seconds, max_points).alias("n"), _same_key("p", "n", "timestamp")
+        _instants(points, gap_seconds).alias("n"), _same_key("p", "n", "timestamp")
     ).select(
         *[f"p.{k}" for k in KEY],
-        "n.segment",
-        (F.col("n.part") + piece).alias("part"),
-        "p.timestamp",
+        "n.segment", "n.total", "n.start_time", "n.end_time",
+        number.alias("number"),
         F.struct("p.timestamp", "p.snapshot_id", "p.pos", *[f"p.{f}" for f in POINT_FIELDS[1:]]).alias("point"),
     )
+    own = F.floor(F.col("number") / max_points)
+    joins = (F.col("number") % max_points == max_points - 1) & (F.col("number") + 1 < F.col("total"))
+    placed = placed.withColumn("part", F.explode(F.when(joins, F.array(own, own + 1)).otherwise(F.array(own)))).withColumn("own", F.col("part") == own)
     assembled = placed.groupBy(*KEY, "segment", "part").agg(
-        F.min("timestamp").alias("start_time"),
-        F.max("timestamp").alias("end_time"),
-        F.count("*").alias("points"),
+        F.ceil(F.first("total") / max_points).alias("parts"),
+        F.first("start_time").alias("start_time"),
+        F.first("end_time").alias("end_time"),
+        F.count_if("own").alias("points"),
         F.array_sort(F.collect_list("point")).alias("ordered"),
     )
     path = F.transform("ordered", lambda p: F.struct(*[p[f].alias(f) for f in POINT_FIELDS]))

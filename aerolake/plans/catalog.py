@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from aerolake.functions import codes, text, units
 from aerolake.operators import alarms, countries, flights, latest, publish, summary, tracks
-from aerolake.operators.decode import decode_state_vector, quarantined, good_states
+from aerolake.operators.decode import decode_state_vector, good_states, quarantined, sequenced_states
 from aerolake.operators.enrich import (
     drop_missing_position, enrich_projection, filter_country, transform_outcome,
 )
 from aerolake.plans import feed, pipelines
 from aerolake.schemas import STATE_FIELDS, STATE_JSON_SCHEMA
 from aerolake.session import use_utc, work_dir
+from aerolake.sources.countries import read_countries
 from aerolake.sources.envelopes import decoded_text
 from aerolake.sources.snapshots import explode_states
 from aerolake.streaming import jobs, sinks
@@ -97,10 +98,46 @@ def quarantine_rows(spark, sf_dir):
     )
 
 
+@_query
+def quarantine_bodies(spark, sf_dir):
+    """Whole bodies: truncated ones, texts and lists are rejected, repeated names are not."""
+    bodies = feed.damaged_bodies(feed.events(spark, sf_dir))
+    good, bad = pipelines.decode_snapshots(bodies)
+    rows = good.select("snapshot_id", F.lit("good").alias("outcome")).unionByName(
+        bad.select("snapshot_id", F.when(F.col("pos").isNull(), F.col("reject_reason")).otherwise("row").alias("outcome"))
+    )
+    return rows.select(_event_id(), "outcome")
+
+
+@_query
+def country_file(spark, sf_dir):
+    """The country list, written as CSV and read back."""
+    path = work_dir(spark, "countries")
+    listed = feed.countries(spark, sf_dir)
+    rows = listed.select(
+        F.regexp_extract("name", r"(\d+)", 1).cast("int").alias("id"), "code", "name", "continent",
+        F.lit(None).cast("string").alias("wikipedia_link"), F.concat_ws(", ", "name", "continent").alias("keywords"),
+    )
+    rows.write.option("header", True).csv(path)
+    return read_countries(spark, path)
+
+
+@_query
+def user_transform(spark, sf_dir):
+    """User code for each record of a batch of envelopes."""
+
+    def lengths(frames):
+        for frame in frames:
+            yield frame[["recordId"]].assign(size=frame["data"].str.len().astype("int64"))
+
+    sizes = feed.envelopes(_states(spark, sf_dir)).mapInPandas(lengths, "recordId STRING, size BIGINT")
+    return sizes.select(F.col("recordId").cast("bigint").alias("event_id"), (F.col("size") % 4 == 0).alias("whole"), (F.col("size") > 3).alias("filled"))
+
+
 @_query
 def transform_outcomes(spark, sf_dir):
     outcomes = transform_outcome(feed.envelopes(_states(spark, sf_dir)), _processed_at())
-    return summary.transform_summary(outcomes)
+    return summary.transform_summary(outcomes, total=True)
 
 
 @_query
@@ -179,8 +216,7 @@ def snapshot_documents(spark, sf_dir):
 
 
 def _ledger(snapshots: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    good, _ = pipelines.decode_snapshots(snapshots)
-    return publish.delivery_ledger(good, chunk, F.unix_seconds("last_contact") % 31 == 0)
+    return publish.delivery_ledger(sequenced_states(snapshots), chunk, F.unix_seconds("last_contact") % 31 == 0)
 
 
 @_query
@@ -197,8 +233,7 @@ def delivery_outcome(spark, sf_dir):
 
 @_query
 def delivered_chunks(spark, sf_dir):
-    good, _ = pipelines.decode_snapshots(_grouped(spark, sf_dir))
-    records = publish.published_records(good, keep=("snapshot_id", "pos"))
+    records = publish.published_records(sequenced_states(_grouped(spark, sf_dir)), keep=("snapshot_id", "seq"))
 
     def refuse_unknown(chunk):
         return sum(key == "unknown" for key, _ in chunk)
@@ -393,6 +428,13 @@ def _stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.states(feed.events_stream(spark, sf_dir))
 
 
+def _landed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The events as a stream of four files, one a batch."""
+    rows = feed.events(spark, sf_dir).repartitionByRange(4, "event_id")
+    rows.write.parquet(f"{root}/landed")
+    return spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+
+
 def _settings(root: str) -> jobs.StreamSettings:
     return jobs.StreamSettings(f"{root}/checkpoint", available_now=True)
 
@@ -406,7 +448,7 @@ def stream_enriched(spark, sf_dir):
     return spark.read.schema(
         "icao24 STRING, callsign STRING, origin_country STRING, latitude DOUBLE, longitude DOUBLE,"
         " altitude DOUBLE, velocity DOUBLE, heading DOUBLE, last_contact STRING, location STRING"
-    ).json(f"{paths.enriched}/batch_id=*/ingest_date=*")
+    ).json(f"{paths.enriched}/ingest_date=*/batch_id=*")
 
 
 @_query
@@ -415,10 +457,26 @@ def stream_errors(spark, sf_dir):
     paths = jobs.LakePaths(root)
     envelopes = feed.envelopes(_stream_states(spark, sf_dir))
     jobs.run_enrichment_stream(envelopes, paths, _settings(root)).awaitTermination()
-    errors = spark.read.schema("recordId STRING, data STRING, reason STRING").json(f"{paths.errors}/batch_id=*")
+    errors = spark.read.schema("recordId STRING, data STRING, reason STRING").json(f"{paths.errors}/ingest_date=*/batch_id=*")
     return errors.select(F.col("recordId").cast("bigint").alias("event_id"), "data", "reason")
 
 
+@_query
+def stream_ingest(spark, sf_dir):
+    """Damaged bodies in several batches; the job runs twice and the second run finds nothing to do."""
+    root = work_dir(spark, "ingest")
+    paths = jobs.LakePaths(root)
+    stream = _landed(spark, sf_dir, root)
+    for _ in range(2):
+        jobs.run_ingest_stream(feed.damaged_bodies(stream), paths, _settings(root)).awaitTermination()
+    records = spark.read.parquet(f"{paths.ingest}/records").select("snapshot_id", F.lit("good").alias("outcome"))
+    bad = spark.read.parquet(f"{paths.ingest}/quarantine")
+    outcome = F.when(F.col("pos").isNull(), F.col("reject_reason")).otherwise("row").alias("outcome")
+    sent = spark.read.parquet(f"{paths.ingest}/ledger").select("snapshot_id", F.explode(F.sequence(F.lit(1), "sent")).alias("n"))
+    sent = sent.select("snapshot_id", F.lit("sent").alias("outcome"))
+    return records.unionByName(bad.select("snapshot_id", outcome)).unionByName(sent).select(_event_id(), "outcome")
+
+
 @_query
 def stream_published(spark, sf_dir):
     root = work_dir(spark, "published")
@@ -433,7 +491,8 @@ def stream_published(spark, sf_dir):
 @_query
 def stream_latest(spark, sf_dir):
     root = work_dir(spark, "latest")
-    jobs.run_latest_stream(_stream_states(spark, sf_dir), f"{root}/table", _settings(root)).awaitTermination()
+    states = feed.states(_landed(spark, sf_dir, root))
+    jobs.run_latest_stream(states, f"{root}/table", _settings(root)).awaitTermination()
     newest = sinks.read_latest(spark, f"{root}/table")
     return newest.select(
         "key", _event_id(), "callsign", _seconds("last_contact", "last_contact"),

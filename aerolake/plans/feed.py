@@ -22,17 +22,8 @@ EVENTS_SCHEMA = (
 SNAPSHOT_STATES = 50
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Uses all cores for a table whose files make fewer tasks than that.
-
-    Only a small table is moved; one with enough splits is read where it lies.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +116,22 @@ def grouped_bodies(rows: DataFrame) -> DataFrame:
     return grouped.select(_text_id(F.col("n")).alias("snapshot_id"), body.alias("body"))
 
 
+def damaged_bodies(rows: DataFrame) -> DataFrame:
+    """Bodies of one event each, of which one in 101 is truncated, one in 103 repeats a name,
+    one in 107 is no JSON, one in 109 a list, and one in 113 has a number for its states."""
+    e, body = _id(), F.col("body")
+    damaged = (
+        F.when(e % 101 == 0, F.left(body, F.length(body) - 2))
+        .when(e % 103 == 0, F.concat(F.lit('{"time":0,'), F.substring(body, F.lit(2), F.length(body))))
+        .when(e % 107 == 0, F.lit("service unavailable"))
+        .when(e % 109 == 0, F.lit("[1, 2]"))
+        .when(e % 113 == 0, F.lit('{"states": 5}'))
+        .otherwise(body)
+    )
+    bodies = single_bodies(rows).withColumn("event_id", F.col("snapshot_id").cast("bigint"))
+    return bodies.select("snapshot_id", damaged.alias("body"))
+
+
 def decoded(rows: DataFrame) -> DataFrame:
     return decode_state_vector(explode_states(single_bodies(rows)))
 
@@ -141,7 +148,7 @@ def envelopes(good: DataFrame) -> DataFrame:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     first_seen = F.col("o_orderdate").cast("timestamp")
     flown = F.make_dt_interval(hours=(key % 12 + 1).cast("int"))

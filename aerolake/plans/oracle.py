@@ -103,6 +103,13 @@ _RESULT = (
     "CASE WHEN event_id % 61 = 0 THEN 'ProcessingFailed' "
     f"WHEN {_POSITIONED} THEN 'Ok' ELSE 'Dropped' END"
 )
+_BODY = (
+    "CASE WHEN event_id % 101 = 0 THEN 'body_unreadable' "
+    "WHEN event_id % 103 != 0 AND event_id % 107 = 0 THEN 'body_unreadable' "
+    "WHEN event_id % 103 != 0 AND event_id % 109 = 0 THEN 'body_not_an_object' "
+    "WHEN event_id % 103 != 0 AND event_id % 113 = 0 THEN 'states_not_a_list' "
+    "WHEN reject_reason IS NULL THEN 'good' ELSE 'row' END"
+)
 _SENSORS_JSON = "CASE WHEN len(sensors) > 0 THEN '[' || array_to_string(sensors, ',') || ']' END"
 _ENRICHED = (
     "icao24, callsign, origin_country, latitude, longitude, altitude, velocity, heading, "
@@ -200,7 +207,19 @@ def oracle_sql() -> dict[str, str]:
                    CAST(CASE WHEN event_id % 997 = 0 THEN NULL WHEN event_id % 83 = 0 THEN 16 ELSE 17 END
                         AS INTEGER) AS slots
             FROM feed WHERE reject_reason IS NOT NULL""",
-        "transform_outcomes": f"SELECT {_RESULT} AS result, count(*) AS records FROM states GROUP BY 1",
+        "transform_outcomes": f"""
+            SELECT {_RESULT} AS result, count(*) AS records FROM states GROUP BY 1
+            UNION ALL SELECT 'all', count(*) FROM states""",
+        "quarantine_bodies": f"SELECT event_id, {_BODY} AS outcome FROM feed",
+        "stream_ingest": f"""
+            SELECT event_id, {_BODY} AS outcome FROM feed
+            UNION ALL SELECT event_id, 'sent' FROM feed WHERE {_BODY} = 'good'""",
+        "country_file": """
+            SELECT n_nationkey AS id, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, r_name AS continent,
+                   CAST(NULL AS VARCHAR) AS wikipedia_link, n_name || ', ' || r_name AS keywords
+            FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        "user_transform": """
+            SELECT event_id, event_id % 61 != 0 AS whole, event_id % 61 != 0 AS filled FROM states""",
         "transform_records": f"""
             SELECT event_id, result,
                    CASE WHEN result = 'Ok' THEN icao24 END AS icao24,

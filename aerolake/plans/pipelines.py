@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from aerolake.operators.decode import decode_state_vector, split_malformed
+from aerolake.operators.decode import decode_state_vector, sequenced_states, split_malformed
 from aerolake.operators.enrich import drop_missing_position, enrich_projection, filter_country
 from aerolake.operators.publish import CHUNK_SIZE, delivery_ledger, delivery_outcome, published_records
 from aerolake.operators.summary import snapshot_summary
-from aerolake.sources.snapshots import explode_states
+from aerolake.sources.snapshots import explode_states, quarantined_bodies
 
 
 @dataclass(frozen=True)
@@ -26,8 +26,9 @@ class Ingest:
 
 
 def decode_snapshots(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bodies to (good states, quarantine)."""
-    return split_malformed(decode_state_vector(explode_states(snapshots)))
+    """Bodies to (good states, quarantine of rows and of whole bodies)."""
+    good, rows = split_malformed(decode_state_vector(explode_states(snapshots)))
+    return good, rows.unionByName(quarantined_bodies(snapshots))
 
 
 def ingest(
@@ -42,7 +43,7 @@ def ingest(
     """
     good, quarantine = decode_snapshots(snapshots)
     states = filter_country(good, country)
-    ledger = delivery_ledger(states, chunk_size)
+    ledger = delivery_ledger(sequenced_states(snapshots, country), chunk_size)
     return Ingest(
         states=states,
         quarantine=quarantine,

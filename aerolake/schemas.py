@@ -46,18 +46,11 @@ COUNTRY_SCHEMA = (
     "id INT, code STRING, name STRING, continent STRING, wikipedia_link STRING, keywords STRING"
 )
 
-AIRPORT_SCHEMA = (
-    "icao STRING NOT NULL, iata STRING, name STRING, city STRING, country STRING, "
-    "latitude DOUBLE, longitude DOUBLE, altitude DOUBLE"
-)
-
 FLIGHT_SCHEMA = (
     "icao24 STRING, first_seen TIMESTAMP, last_seen TIMESTAMP, callsign STRING, "
     "departure_airport STRING, arrival_airport STRING"
 )
 
-METRIC_SCHEMA = "metric STRING, source STRING, ts TIMESTAMP, value DOUBLE"
-
 LEDGER_SCHEMA = (
     "snapshot_id STRING, batch_no BIGINT, records BIGINT, sent BIGINT, failed BIGINT, ok BOOLEAN"
 )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,12 +30,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
-    It lies below ``spark.checkpoint.dir`` so that every executor sees it. Only a
-    local session may fall back to a temporary folder of this machine.
+    It lies below ``spark.checkpoint.dir`` or, where that is unset, below the session's
+    warehouse; every executor sees both.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="aerolake-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/aerolake/{name}-{uuid.uuid4().hex}"

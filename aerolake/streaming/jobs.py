@@ -10,23 +10,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from aerolake.functions.units import duration_seconds
 from aerolake.operators.alarms import metric_rollup
 from aerolake.operators.enrich import enrich_outcome
-from aerolake.operators.publish import published_records
+from aerolake.operators.publish import CHUNK_SIZE, published_records
 from aerolake.operators.tracks import KEY
+from aerolake.sources.snapshots import MAX_AGE
 from aerolake.streaming import sinks
 
 # Storage layers of the lake.
 LAYERS = ["workspace", "landing", "raw", "trusted", "business"]
 
-# Records per batch, batching window in seconds, parallelism and retries
-# of the record consumer; flush interval of the raw sink and cadence of the feed.
-BATCH_RECORDS, BATCH_RECORDS_OTHER = 1000, 100
+# Batching window of the record consumer, flush interval of the raw sink and
+# cadence of the feed, in seconds.
 BATCH_SECONDS = 5
-MAX_RETRIES = 3
 RAW_FLUSH_SECONDS = 300
 FEED_SECONDS = 60
 
@@ -51,6 +50,10 @@ class LakePaths:
     def errors(self) -> str:
         return self.layer("landing") + "/enriched-flights-errors"
 
+    @property
+    def ingest(self) -> str:
+        return self.layer("landing") + "/ingest"
+
     @property
     def raw(self) -> str:
         return self.layer("landing") + "/raw"
@@ -61,18 +64,18 @@ class StreamSettings:
     """``checkpoint`` must lie in storage that all executors share.
 
     With ``available_now`` the job takes what is there and ends. Otherwise it starts a
-    batch every ``trigger_seconds``.
+    batch every ``trigger_seconds``, or as often as the job does by default.
     """
 
     checkpoint: str
-    trigger_seconds: int = BATCH_SECONDS
+    trigger_seconds: int | None = None
     available_now: bool = False
 
-    def start(self, writer: DataStreamWriter) -> StreamingQuery:
+    def start(self, writer: DataStreamWriter, every: int = BATCH_SECONDS) -> StreamingQuery:
         writer = writer.option("checkpointLocation", self.checkpoint)
         if self.available_now:
             return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=f"{self.trigger_seconds} seconds").start()
+        return writer.trigger(processingTime=f"{self.trigger_seconds or every} seconds").start()
 
 
 def read_records_stream(
@@ -81,6 +84,7 @@ def read_records_stream(
 ) -> DataFrame:
     """Files of records; ``latest_first`` serves new files before the backlog."""
     reader = spark.readStream.schema(schema).format(sink_format).option("latestFirst", latest_first)
+    reader = reader.option("maxFileAge", MAX_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -136,7 +140,23 @@ def run_raw_stream(records: DataFrame, path: str, settings: StreamSettings) -> S
         .option("compression", "none")
         .option("maxRecordsPerFile", sinks.RAW_RECORDS_PER_FILE)
     )
-    return settings.start(writer)
+    return settings.start(writer, RAW_FLUSH_SECONDS)
+
+
+def run_ingest_stream(
+    snapshots: DataFrame, paths: LakePaths, settings: StreamSettings, country: str | None = None,
+    chunk_size: int = CHUNK_SIZE,
+) -> StreamingQuery:
+    """Landed bodies to records, quarantine and delivery ledger.
+
+    A batch is decoded once and kept while its three sinks are written. Every element is in
+    the records, in the quarantine or of another country; unreadable bodies are in the quarantine.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_ingest(batch, batch_id, paths.ingest, country, chunk_size)
+
+    return settings.start(snapshots.writeStream.foreachBatch(write), FEED_SECONDS)
 
 
 def run_rollup_stream(
@@ -180,10 +200,25 @@ def run_sessions_stream(
     )
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the engine has dropped behind the watermark, over the reported progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that the engine drops behind the watermark, for each query by its id.
+
+    Add it to ``spark.streams`` before the query starts; progress reports reach it a little later
+    than the batch ends.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass

@@ -1,47 +1,56 @@
 """What one micro-batch writes.
 
-A batch owns the folder ``batch_id=<n>`` of its sink and overwrites it, so a repeated
-batch leaves the same rows as a single one. Folders are named by batch first: the date
-of a repeated batch may differ, its number does not.
+A batch owns the folders ``batch_id=<n>`` of its sink and overwrites them, so a repeated
+batch leaves the same rows as a single one. Folders of the enriched and error sinks are named by
+ingest date first. The date is that of the batch, which the stream's log keeps, so a repeated
+batch has the same.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.operators.enrich import FAILED, OK
+from aerolake.operators.decode import decode_state_vector, split_malformed
+from aerolake.operators.enrich import FAILED, OK, filter_country
 from aerolake.operators.latest import latest_state
+from aerolake.operators.publish import CHUNK_SIZE, delivery_ledger, number_in_order, published_records
 from aerolake.schemas import STATE_SCHEMA
+from aerolake.sources.snapshots import explode_states, quarantined_bodies
 
 # Flush sizes of the raw sink, from 128 MB and about 1 KB per record.
 RAW_FLUSH_BYTES = 128 * 1024 * 1024
 RECORD_BYTES = 1024
 RAW_RECORDS_PER_FILE = RAW_FLUSH_BYTES // RECORD_BYTES
 
+# Buckets of the keyed table. A table keeps the number it began with.
+BUCKETS = 16
+
 
 def _folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
+def _by_date(rows: DataFrame, batch_id: int) -> DataFrameWriter:
+    placed = rows.withColumns({"ingest_date": F.to_date("ingested_at"), "batch_id": F.lit(batch_id)}).drop("ingested_at")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return writer.partitionBy("ingest_date", "batch_id")
+
+
 def write_enriched(outcome: DataFrame, batch_id: int, path: str) -> None:
-    """Enriched records as JSON lines, in folders per ingest date."""
+    """Enriched records as JSON lines, in folders by ingest date and batch."""
     good = outcome.where(F.col("result") == OK)
-    (
-        good.select("value", F.to_date("ingested_at").alias("ingest_date"))
-        .write.mode("overwrite").partitionBy("ingest_date").text(_folder(path, batch_id))
-    )
+    _by_date(good.select("value", "ingested_at"), batch_id).text(path)
 
 
 def write_errors(outcome: DataFrame, batch_id: int, path: str) -> None:
-    """Unreadable records as they came, with the reason."""
+    """Unreadable records as they came, with the reason, in folders by ingest date and batch."""
     failed = outcome.where(F.col("result") == FAILED)
-    (
-        failed.select("recordId", "data", F.col("result").alias("reason"))
-        .write.mode("overwrite").option("ignoreNullFields", "false").json(_folder(path, batch_id))
-    )
+    rows = failed.select("recordId", "data", F.col("result").alias("reason"), "ingested_at")
+    _by_date(rows, batch_id).option("ignoreNullFields", "false").json(path)
 
 
 def write_outcome(outcome: DataFrame, batch_id: int, enriched_path: str, errors_path: str) -> None:
@@ -54,6 +63,25 @@ def write_outcome(outcome: DataFrame, batch_id: int, enriched_path: str, errors_
         outcome.unpersist()
 
 
+def write_ingest(
+    snapshots: DataFrame, batch_id: int, path: str, country: str | None = None, chunk_size: int = CHUNK_SIZE
+) -> None:
+    """Records, quarantine and ledger of a batch of bodies, below ``path``, from one decode."""
+    decoded = decode_state_vector(explode_states(snapshots)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, rejected = split_malformed(decoded)
+        records = number_in_order(published_records(filter_country(good, country), keep=("snapshot_id", "pos")))
+        sinks = {
+            "records": records.drop("pos"),
+            "quarantine": rejected.unionByName(quarantined_bodies(snapshots)),
+            "ledger": delivery_ledger(records, chunk_size),
+        }
+        for name, rows in sinks.items():
+            rows.write.mode("overwrite").parquet(_folder(f"{path}/{name}", batch_id))
+    finally:
+        decoded.unpersist()
+
+
 def publish_states(
     records: DataFrame, batch_id: int, path: str | None = None,
     sink_format: str = "parquet", options: dict[str, str] | None = None,
@@ -66,35 +94,79 @@ def publish_states(
         writer.mode("overwrite").save(_folder(path, batch_id))
 
 
-def upsert_latest(states: DataFrame, batch_id: int, path: str) -> None:
-    """The newest row per key of this batch; ``read_latest`` merges the batches."""
-    latest_state(states).write.mode("overwrite").parquet(_folder(path, batch_id))
-
-
 def _latest_schema() -> T.StructType:
     return T.StructType([
         T.StructField("key", T.StringType()),
         T.StructField("snapshot_id", T.StringType()),
         T.StructField("pos", T.IntegerType()),
         *STATE_SCHEMA,
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("bucket", T.LongType()),
     ])
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The keyed table: one row per key.
-
-    Taking the newest row is indifferent to order and repetition, so batches merge in
-    any order and a batch seen twice changes nothing.
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """All versions of all buckets; None before the first batch."""
+    try:
+        return spark.read.schema(_latest_schema()).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _newest(versions: DataFrame, before: int | None = None) -> tuple[DataFrame, dict[int, int]]:
+    """The rows of the newest version of each bucket, below ``before``; and those versions."""
+    if before is not None:
+        versions = versions.where(F.col("version") < before)
+    found = dict(map(tuple, versions.groupBy("bucket").agg(F.max("version")).collect()))
+    wanted = F.lit(False)
+    for bucket, version in found.items():
+        wanted = wanted | ((F.col("version") == version) & (F.col("bucket") == bucket))
+    return versions.where(wanted), found
+
+
+def upsert_latest(states: DataFrame, batch_id: int, path: str, buckets: int = BUCKETS) -> None:
+    """Merges the newest rows of a batch into the keyed table.
+
+    Keys lie in buckets by their hash. A batch writes the buckets that it touches as version
+    ``batch_id``, merged with their newest earlier version, and readers take the newest version of each
+    bucket. A repeated batch writes the same again, and batches may come late, since the newest
+    ``last_contact`` wins. Versions that no reader can want any more are deleted.
     """
-    batches = spark.read.schema(_latest_schema()).parquet(path)
-    return latest_state(batches.drop("key", "batch_id"))
-
+    spark = states.sparkSession
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
+    fresh = latest_state(states).withColumn("bucket", bucket)
+    versions = _versions(spark, path)
+    rows = fresh
+    if versions is not None:
+        # As many scalars as there are buckets go through the driver.
+        touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
+        kept, _ = _newest(versions.where(F.col("bucket").isin(touched)), batch_id)
+        rows = fresh.unionByName(kept.drop("version"))
+    merged = latest_state(rows.drop("key", "bucket")).withColumn("bucket", bucket)
+    placed = merged.repartition(buckets, "bucket")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/version={batch_id}")
+    _forget(spark, path, batch_id)
+
+
+def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Deletes versions all of whose buckets have been replaced by batches before ``batch_id``.
+
+    The newest version below ``batch_id`` of each bucket stays, so that this batch can be repeated.
+    """
+    versions = _versions(spark, path)
+    all_versions = {r["version"] for r in versions.select("version").distinct().collect()}
+    wanted = {*_newest(versions)[1].values(), *_newest(versions, batch_id)[1].values(), batch_id}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for version in all_versions - wanted:
+        folder = hadoop(f"{path.rstrip('/')}/version={version}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-def compact_latest(spark: SparkSession, path: str, target: str, batch_id: int) -> None:
-    """Writes the table of all batches so far as one batch of a new folder.
 
-    Point readers and the stream at the new folder afterwards. ``batch_id`` is the last
-    batch contained.
-    """
-    read_latest(spark, path).write.mode("overwrite").parquet(_folder(target, batch_id))
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The keyed table: one row per key, one file or so per bucket."""
+    versions = _versions(spark, path)
+    if versions is None:
+        return spark.createDataFrame([], _latest_schema()).drop("version", "bucket")
+    return _newest(versions)[0].drop("version", "bucket")

@@ -1,16 +1,18 @@
 """Decode rules, slot by slot, with hand-written arrays."""
 
 import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from aerolake.functions.text import event_time_text
 from aerolake.operators.decode import decode_state_vector, quarantined, split_malformed
 from aerolake.operators.summary import snapshot_document, snapshot_summary
-from aerolake.plans.pipelines import enrich, ingest
+from aerolake.plans.pipelines import decode_snapshots, enrich, ingest
 from aerolake.schemas import STATE_FIELDS
-from aerolake.sources.snapshots import explode_states, read_snapshots
+from aerolake.sources.snapshots import explode_states, quarantined_bodies, read_snapshots
 
 FULL = [
     "4b1801", "SWR12   ", "Switzerland", 1700000000, 1700000001, 8.5, 47.25, 1000, False, 200.5,
@@ -40,7 +42,7 @@ def test_full_row(spark):
     assert row.altitude == 1000.0 and row.heading == 90.0
     assert row.on_ground is False and row.spi is False
     assert row.sensors == [1, 2] and row.position_source == 2
-    assert F.lit(row.time_position) is not None
+    assert row.time_position == datetime.fromtimestamp(1700000000)
     assert row.last_contact == datetime.fromtimestamp(1700000001)
 
 
@@ -171,6 +173,44 @@ def test_split_loses_nothing(spark, bodies):
     assert reasons[("h", 1)][0] == "bad_position_source"
 
 
+def test_every_body_is_accounted_for(spark, bodies):
+    more = spark.createDataFrame([
+        ("i", None), ("j", '{"time": 1, "states": [[1]'), ("k", '{"states": 7}'), ("l", '"text"'),
+        ("m", '{"time": 1, "time": 2, "states": [' + json.dumps(FULL) + ', null, "x", {"a": 1}]}'),
+        ("n", '{"states": [' + json.dumps(FULL)[:-1] + ", NaN]]}"),
+    ], "snapshot_id STRING, body STRING")
+    every = bodies.unionByName(more)
+    reasons = {r.snapshot_id: r.reject_reason for r in quarantined_bodies(every).collect()}
+    unreadable = dict.fromkeys("egij", "body_unreadable")
+    assert reasons == {**unreadable, "f": "body_not_an_object", "l": "body_not_an_object", "k": "states_not_a_list"}
+    good, bad = decode_snapshots(every)
+    counts = Counter(r.snapshot_id for r in good.collect())
+    assert counts["m"] == 1 and counts["n"] == 1
+    assert sorted(r.reject_reason for r in bad.where("snapshot_id = 'm'").collect()) == ["not_an_array"] * 3
+
+
+def test_a_body_of_any_size(spark):
+    element = json.dumps(FULL)
+    n = 134_217_728 // len(element) + 2000
+    elements = F.array_join(F.transform(F.sequence(F.lit(1), F.col("n")), lambda _: F.lit(element)), ",")
+    body = F.concat(F.lit('{"time": 1, "states": ['), elements, F.lit("]}"))
+    big = spark.createDataFrame([("big", n)], "snapshot_id STRING, n INT").select("snapshot_id", body.alias("body"))
+    good, bad = decode_snapshots(big)
+    assert big.select(F.octet_length("body")).first()[0] > 128 * 1024 * 1024
+    assert good.agg(F.count("icao24")).first()[0] == n and bad.isEmpty()
+
+
+def test_texts_are_utc_in_any_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        times = spark.createDataFrame([(0,), (1_700_000_000_123_450,), (-1,), (None,)], "m BIGINT").select(F.timestamp_micros("m").alias("t"))
+        got = [r[0] for r in times.select(event_time_text(F.col("t"))).collect()]
+        assert got == ["1970-01-01T00:00:00+00:00", "2023-11-14T22:13:20.123450+00:00", "1969-12-31T23:59:59.999999+00:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_summary_keeps_empty_snapshots(bodies):
     at = F.lit("2024-02-01 00:00:00").cast("timestamp")
     totals = {r.snapshot_id: r.total_states for r in snapshot_summary(bodies, processed_at=at).collect()}
@@ -187,11 +227,13 @@ def test_landed_files_end_to_end(spark, tmp_path):
     (tmp_path / "two.json").write_text("garbage")
     snapshots = read_snapshots(spark, str(tmp_path))
     result = ingest(snapshots, chunk_size=1)
-    assert result.states.count() == 2 and result.quarantine.count() == 0
+    assert result.states.count() == 2
+    (lost,) = result.quarantine.collect()
+    assert (lost.pos, lost.reject_reason, lost.raw) == (None, "body_unreadable", "garbage")
     assert {r.total_states for r in result.summary.collect()} == {0, 2}
     assert [r.batch_no for r in result.ledger.orderBy("batch_no").collect()] == [0, 1]
     outcome = {r.batches: r.ok for r in result.outcome.collect()}
-    assert outcome == {2: True, 0: True}
+    assert outcome == {2: True, 0: False}
     assert ingest(snapshots, "Brazil").records.count() == 0
     (row,) = enrich(snapshots, F.lit("2024-02-01 00:00:00.5").cast("timestamp")).collect()
     assert row.event_time == "2024-02-01T00:00:00.500000+00:00" and row.location == "47.25,8.5"

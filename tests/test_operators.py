@@ -146,18 +146,25 @@ def test_tracks_match_brute_force(states, rows, gap):
     got = {(r.icao24, r.callsign, r.segment): (r.start_time, r.end_time, r.points) for r in summary.collect()}
     assert got == {k: (v[0][0], v[-1][0], len(v)) for k, v in expected.items()}
     for limit in (10_000, 7):
-        paths = defaultdict(list)
+        paths, last = defaultdict(list), {}
         assembled = tracks.assemble_tracks(points, gap, limit).collect()
         for r in sorted(assembled, key=lambda r: r.part):
-            assert r.points == len(r.path) and [p.timestamp for p in r.path] == sorted(p.timestamp for p in r.path)
-            paths[(r.icao24, r.callsign, r.segment)].append([p.timestamp for p in r.path])
+            joint = int(r.part > 0)
+            assert r.points + joint == len(r.path) and [p.timestamp for p in r.path] == sorted(p.timestamp for p in r.path)
+            key = (r.icao24, r.callsign, r.segment)
+            assert r.points == limit or r.part == r.parts - 1
+            assert (r.start_time, r.end_time) == (expected[key][0][0], expected[key][-1][0])
+            if joint:
+                assert last[key] == r.path[0]
+            last[key] = r.path[-1]
+            paths[key].append([p.timestamp for p in r.path[joint:]])
         assert paths.keys() == expected.keys()
         for key, parts in paths.items():
             assert sum(parts, []) == [p[0] for p in expected[key]]
         if limit == 10_000:
             assert all(len(parts) == 1 for parts in paths.values())
     many_at_once = max(len(r.path) for r in assembled)
-    assert many_at_once <= 30
+    assert many_at_once == 8
 
 
 def test_geojson(spark, states):

@@ -4,10 +4,11 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_points
+from aerolake.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 # The smallest tables happen to have no such rows.
 MAY_BE_EMPTY = {"country_unmatched", "lag_alarm"}
@@ -28,6 +29,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give, also when batches repeat."""
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -13,6 +14,7 @@ from aerolake.operators.decode import decode_state_vector, good_states
 from aerolake.operators.enrich import enrich_outcome
 from aerolake.operators.latest import latest_state
 from aerolake.operators.publish import published_records
+from aerolake.plans.pipelines import ingest
 from aerolake.schemas import ENVELOPE_SCHEMA
 from aerolake.session import work_dir
 from aerolake.sources.snapshots import explode_states, read_snapshots, read_snapshots_stream
@@ -79,7 +81,7 @@ def test_enrichment(spark, landing, tmp_path):
     fields = ["icao24", "latitude", "longitude", "location", "last_contact"]
 
     def enriched():
-        return spark.read.json(f"{paths.enriched}/batch_id=*/ingest_date=*")
+        return spark.read.json(f"{paths.enriched}/ingest_date=*/batch_id=*")
 
     batch = expected.where("result = 'Ok'").select(F.from_json("value", enriched().schema).alias("v")).select("v.*")
     assert ids(enriched(), *fields) == ids(batch, *fields)
@@ -106,7 +108,7 @@ def test_user_transform(spark, landing, tmp_path):
     paths = jobs.LakePaths(str(tmp_path / "lake"))
     stream = envelopes(good(read_snapshots_stream(spark, str(landing))))
     run(jobs.run_enrichment_stream(stream, paths, settings(tmp_path, "user"), lambda df: df.mapInPandas(mark, schema)))
-    assert spark.read.json(f"{paths.enriched}/batch_id=*/ingest_date=*").count() == good(read_snapshots(spark, str(landing))).count()
+    assert spark.read.json(f"{paths.enriched}/ingest_date=*/batch_id=*").count() == good(read_snapshots(spark, str(landing))).count()
 
 
 def test_repeated_batch_overwrites_itself(spark, landing, tmp_path):
@@ -118,7 +120,7 @@ def test_repeated_batch_overwrites_itself(spark, landing, tmp_path):
         sinks.upsert_latest(states, 4, keyed)
         sinks.publish_states(published_records(states), 4, records)
     counts = {r.result: r["count"] for r in outcome.groupBy("result").count().collect()}
-    assert spark.read.json(f"{out}/batch_id=*/ingest_date=*").count() == counts["Ok"]
+    assert spark.read.json(f"{out}/ingest_date=*/batch_id=*").count() == counts["Ok"]
     assert spark.read.json(err).count() == counts["ProcessingFailed"]
     assert spark.read.parquet(records).count() == states.count()
     assert sinks.read_latest(spark, keyed).count() == latest_state(states).count()
@@ -132,15 +134,45 @@ def test_latest(spark, landing, tmp_path):
     expected = latest_state(good(read_snapshots(spark, str(landing))))
     columns = ["key", "snapshot_id", "pos", "last_contact", "altitude"]
     assert ids(sinks.read_latest(spark, table), *columns) == ids(expected, *columns)
-    compacted = str(tmp_path / "compacted")
-    sinks.compact_latest(spark, table, compacted, 2)
-    assert ids(sinks.read_latest(spark, compacted), *columns) == ids(expected, *columns)
     newer = good(spark.createDataFrame([("z", snapshot(50))], "snapshot_id STRING, body STRING"))
-    sinks.upsert_latest(newer, 3, compacted)
-    merged = sinks.read_latest(spark, compacted)
+    sinks.upsert_latest(newer, 3, table)
+    merged = sinks.read_latest(spark, table)
     assert merged.count() == expected.count() and merged.where("snapshot_id = 'z'").count() == newer.count()
 
 
+def test_upsert_is_flat_and_takes_late_and_repeated_batches(spark, tmp_path):
+    table, order, files = str(tmp_path / "table"), [5, 2, 9, 1, 7, 3, 8, 4, 6, 0], []
+    bodies = {n: good(spark.createDataFrame([(f"s{n}", snapshot(n))], "snapshot_id STRING, body STRING")) for n in order}
+    for batch_id, n in enumerate(order):
+        sinks.upsert_latest(bodies[n], batch_id, table, buckets=2)
+        if batch_id % 4 == 3:  # a repeat of a batch that failed after writing
+            sinks.upsert_latest(bodies[n], batch_id, table, buckets=2)
+        files.append(len(sinks.read_latest(spark, table).inputFiles()))
+    everything = bodies[0]
+    for n in order[:-1]:
+        everything = everything.unionByName(bodies[n])
+    columns = ["key", "snapshot_id", "pos", "last_contact", "altitude"]
+    assert ids(sinks.read_latest(spark, table), *columns) == ids(latest_state(everything), *columns)
+    assert max(files) <= 2 * 3 and len(list((tmp_path / "table").glob("version=*"))) <= 4
+
+
+def test_ingest(spark, landing, tmp_path):
+    (landing / "bad1.json").write_text("garbage")
+    (landing / "bad2.json").write_text(snapshot(3)[:-2])
+    paths, config = jobs.LakePaths(str(tmp_path / "lake")), settings(tmp_path, "ingest")
+    for _ in range(2):
+        run(jobs.run_ingest_stream(read_snapshots_stream(spark, str(landing), max_files=4), paths, config, chunk_size=3))
+    whole = ingest(read_snapshots(spark, str(landing)), chunk_size=3)
+    records = spark.read.parquet(f"{paths.ingest}/records")
+    quarantine = spark.read.parquet(f"{paths.ingest}/quarantine")
+    assert records.select("batch_id").distinct().count() >= 3
+    assert ids(records, "snapshot_id", "key", "value") == ids(whole.records, "snapshot_id", "key", "value")
+    assert ids(quarantine, "snapshot_id", "pos", "reject_reason", "raw") == ids(whole.quarantine, "snapshot_id", "pos", "reject_reason", "raw")
+    assert quarantine.where("pos is null").count() == 2 and records.count() + quarantine.count() == 12 * 8 + 2
+    ledger = spark.read.parquet(f"{paths.ingest}/ledger")
+    assert ids(ledger, "snapshot_id", "batch_no", "records", "sent") == ids(whole.ledger, "snapshot_id", "batch_no", "records", "sent")
+
+
 def test_publish_and_raw(spark, landing, tmp_path):
     records, raw = str(tmp_path / "records"), str(tmp_path / "raw")
     run(jobs.run_publish_stream(good(read_snapshots_stream(spark, str(landing))), settings(tmp_path, "publish"), records))
@@ -159,7 +191,7 @@ def test_envelope_files_as_source(spark, tmp_path):
     stream = jobs.read_records_stream(spark, str(folder), ENVELOPE_SCHEMA, max_files=1)
     paths = jobs.LakePaths(str(tmp_path / "lake"))
     run(jobs.run_enrichment_stream(stream, paths, settings(tmp_path, "files")))
-    (row,) = spark.read.json(f"{paths.errors}/batch_id=*").collect()
+    (row,) = spark.read.json(f"{paths.errors}/ingest_date=*/batch_id=*").collect()
     assert (row.recordId, row.data, row.reason) == ("1", "%%%", "ProcessingFailed")
 
 
@@ -177,10 +209,23 @@ def test_rollup_closed_periods(spark, tmp_path):
     schema = "metric STRING, source STRING, ts TIMESTAMP, value DOUBLE"
     folder, table = str(tmp_path / "metrics"), str(tmp_path / "rollup")
     write_slices(spark, rows, schema, 2, folder, 6)
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
     for _ in range(2):
         stream = jobs.read_records_stream(spark, folder, schema, "parquet", max_files=1)
         query = run(jobs.run_rollup_stream(stream, 600, "Sum", table, settings(tmp_path, "rollup"), "20 minutes"))
-    assert jobs.dropped_late_rows(query) == 0
+    # The engine judges lateness by the watermark of the batch before, so the late row comes third.
+    for slice_ in (rows[:200], rows[200:], [("m", "s", start, 1.0)]):
+        spark.createDataFrame(slice_, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "both"))
+        time.sleep(0.05)
+    stream = jobs.read_records_stream(spark, str(tmp_path / "both"), schema, "parquet", max_files=1)
+    other = run(jobs.run_rollup_stream(stream, 600, "Sum", table + "2", settings(tmp_path, "late"), "20 minutes"))
+    for _ in range(100):
+        if late.dropped.get(str(other.id)):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.dropped[str(query.id)] == 0 and late.dropped[str(other.id)] == 1
     closed_until = rows[-1][2] - timedelta(minutes=20)
     batch = alarms.metric_rollup(spark.read.parquet(folder), 600, "Sum")
     closed = batch.where(F.col("period_start") + F.expr("INTERVAL 600 SECONDS") <= F.lit(closed_until))
@@ -211,5 +256,5 @@ def test_sessions_match_segments(spark, tmp_path):
 
 def test_work_dir(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    assert first != second and (base is None or first.startswith(base))
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert first != second and first.startswith(base)
