@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -94,6 +95,16 @@ def error_metric(quarantine: DataFrame, ts: Column, source: str) -> DataFrame:
     return _metric(quarantine, ERRORS, source, ts, F.lit(1))
 
 
+def throttled_metric(ledger: DataFrame, ts: Column, source: str) -> DataFrame:
+    """The records of each chunk that the receiver refused."""
+    return _metric(ledger.where("failed > 0"), THROTTLED, source, ts, F.col("failed"))
+
+
+def throttled_requests_metric(ledger: DataFrame, ts: Column, source: str) -> DataFrame:
+    """One event of value 1 per chunk with refused records."""
+    return _metric(ledger.where("failed > 0"), THROTTLED_REQUESTS, source, ts, F.lit(1))
+
+
 def metric_rollup(metrics: DataFrame, period_seconds: int, statistic: str) -> DataFrame:
     """Sum or Max per metric, source and tumbling period; batch or stream."""
     aggregate = {"Sum": F.sum, "Max": F.max}[statistic]
@@ -178,6 +189,32 @@ def firing(alarms: DataFrame) -> DataFrame:
     return alarms.where("in_alarm").drop("in_alarm")
 
 
+def alarm_table(
+    metrics: DataFrame, sources: DataFrame, first: Column, last: Column, specs: Iterable[AlarmSpec] = tuple(ALARMS.values())
+) -> DataFrame:
+    """A row for each alarm, source and period that fires, with its message.
+
+    ``metrics`` has (metric, source, ts, value), ``sources`` the (metric, source) pairs to watch, with
+    rows or without. All periods from that of ``first`` to that of ``last`` are judged, so silence
+    after a source's last row fires as well.
+    """
+    tables = []
+    for spec in specs:
+        own = F.col("metric") == spec.metric
+
+        def period_of(ts: Column, seconds: int = spec.period_seconds) -> Column:
+            return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / seconds) * seconds)
+
+        rollup = metric_rollup(metrics.where(own), spec.period_seconds, spec.statistic)
+        watched = sources.where(own).select("metric", "source", period_of(first).alias("first_period"), period_of(last).alias("last_period"))
+        fired = format_alert(firing(evaluate_alarm(rollup, spec, watched)), spec)
+        tables.append(fired.select(F.lit(spec.name).alias("alarm"), F.lit(spec.severity).cast("string").alias("severity"), "*"))
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out
+
+
 def _number_text(value: Column) -> Column:
     """Whole numbers without decimals."""
     whole = value == F.floor(value)

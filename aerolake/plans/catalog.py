@@ -27,6 +27,7 @@ from aerolake.streaming import jobs, sinks
 PROCESSED_AT = "2024-02-01 00:00:00"
 CHUNK = 10
 GAP_SECONDS = 6 * 3600
+START, END = 1_704_067_200, 1_706_745_599
 HOURS = 48
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -411,6 +412,28 @@ def alert_messages(spark, sf_dir):
     return alarms.format_alert(_idle(spark, sf_dir), alarms.ALARMS["stream-idle"]).select("message")
 
 
+@_query
+def alarm_table(spark, sf_dir):
+    """All alarms over a month: records, lag, errors and refused deliveries, and a source that sends nothing."""
+    rows = feed.events(spark, sf_dir)
+    at = F.col("ts").cast("timestamp")
+    ledger = _ledger(_grouped(spark, sf_dir))
+    sent_at = F.timestamp_seconds(F.lit(START) + F.col("snapshot_id").cast("bigint") * 60)
+    lag = rows.select(F.lit(alarms.LAG).alias("metric"), F.col("event_type").alias("source"), at.alias("ts"), (F.col("value") * 1000).alias("value"))
+    metrics = (
+        _incoming(rows).unionByName(lag)
+        .unionByName(alarms.error_metric(rows.where("event_type = 'error'"), at, "events"))
+        .unionByName(alarms.throttled_metric(ledger, sent_at, "ledger").withColumn("value", F.col("value") * 600))
+        .unionByName(alarms.throttled_requests_metric(ledger, sent_at, "ledger").withColumn("value", F.col("value") * 200))
+    )
+    watched = metrics.select("metric", "source").distinct().unionByName(
+        rows.select(F.lit(alarms.INCOMING).alias("metric"), F.lit("silent").alias("source")).distinct()
+    )
+    first, last = F.timestamp_seconds(F.lit(START)), F.timestamp_seconds(F.lit(END))
+    fired = alarms.alarm_table(metrics, watched, first, last)
+    return _rollup_view(fired.drop("message"))
+
+
 @_query
 def feed_lag(spark, sf_dir):
     lag = alarms.lag_metric(_states(spark, sf_dir), _processed_at(), "states")

@@ -6,6 +6,8 @@ with the operators it checks.
 
 from __future__ import annotations
 
+from aerolake.operators.alarms import ALARMS, AlarmSpec
+
 _FEED = """
 feed AS (
   SELECT event_id,
@@ -92,6 +94,37 @@ def _iso(seconds: str) -> str:
     return f"strftime(make_timestamp(({seconds}) * 1000000), '%Y-%m-%dT%H:%M:%S')"
 
 
+def _alarm(spec: AlarmSpec) -> str:
+    value = "coalesce(v, 0)" if spec.statistic == "Sum" else "v"
+    return f"""
+    SELECT '{spec.name}' AS alarm, {f"'{spec.severity}'" if spec.severity else "CAST(NULL AS VARCHAR)"} AS severity,
+           '{spec.metric}' AS metric, source, period_start, {value} AS value, breaches
+    FROM (
+      SELECT *, CAST(sum(CASE WHEN {value} {spec.comparison} {spec.threshold} THEN 1 ELSE 0 END) OVER (
+               PARTITION BY source ORDER BY period_start ROWS BETWEEN {spec.periods - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS breaches
+      FROM (SELECT source, unnest(generate_series(1704067200 // {spec.period_seconds} * {spec.period_seconds}, 1706745599, {spec.period_seconds})) AS period_start
+            FROM watched WHERE metric = '{spec.metric}') s
+      LEFT JOIN (SELECT source, seconds // {spec.period_seconds} * {spec.period_seconds} AS period_start, {spec.statistic}(value) AS v
+                 FROM metrics WHERE metric = '{spec.metric}' GROUP BY ALL) r USING (source, period_start))
+    WHERE breaches >= {spec.breaching}"""
+
+
+_METRICS = """
+ledger AS (
+  SELECT 1704067200 + snapshot_id * 60 AS seconds, count(*) FILTER (last_contact % 31 = 0) AS failed
+  FROM chunks GROUP BY snapshot_id, batch_no HAVING failed > 0
+),
+metrics AS (
+  SELECT 'incoming_records' AS metric, 'events' AS source, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, 1.0::DOUBLE AS value FROM events
+  UNION ALL SELECT 'iterator_age_ms', event_type, CAST(floor(epoch(ts)) AS BIGINT), value * 1000 FROM events
+  UNION ALL SELECT 'errors', 'events', CAST(floor(epoch(ts)) AS BIGINT), 1.0::DOUBLE FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 'throttled_records', 'ledger', seconds, CAST(failed * 600 AS DOUBLE) FROM ledger
+  UNION ALL SELECT 'throttled_requests', 'ledger', seconds, 200.0::DOUBLE FROM ledger
+),
+watched AS (SELECT DISTINCT metric, source FROM metrics UNION SELECT 'incoming_records', 'silent')
+"""
+
+
 def _with_feed(select: str) -> str:
     return f"WITH {_FEED} {select}"
 
@@ -214,6 +247,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": f"""
             SELECT event_id, {_BODY} AS outcome FROM feed
             UNION ALL SELECT event_id, 'sent' FROM feed WHERE {_BODY} = 'good'""",
+        "alarm_table": f", {_METRICS} {' UNION ALL '.join(_alarm(spec) for spec in ALARMS.values())}",
         "country_file": """
             SELECT n_nationkey AS id, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, r_name AS continent,
                    CAST(NULL AS VARCHAR) AS wikipedia_link, n_name || ', ' || r_name AS keywords
