@@ -27,6 +27,7 @@ from aerolake.streaming import jobs, sinks
 PROCESSED_AT = "2024-02-01 00:00:00"
 CHUNK = 10
 GAP_SECONDS = 6 * 3600
+PART_POINTS = 5
 START, END = 1_704_067_200, 1_706_745_599
 HOURS = 48
 
@@ -146,7 +147,8 @@ def transform_records(spark, sf_dir):
     outcomes = transform_outcome(feed.envelopes(_states(spark, sf_dir)), _processed_at())
     value = F.from_json(
         decoded_text(F.col("data")),
-        "icao24 STRING, velocity DOUBLE, last_contact STRING, event_time STRING, location STRING",
+        "icao24 STRING, callsign STRING, origin_country STRING, latitude DOUBLE, longitude DOUBLE, altitude DOUBLE,"
+        " velocity DOUBLE, heading DOUBLE, last_contact STRING, event_time STRING, location STRING",
     )
     return outcomes.withColumn("value", value).select(
         F.col("recordId").cast("bigint").alias("event_id"), "result", "value.*"
@@ -209,10 +211,10 @@ def snapshot_summary_country(spark, sf_dir):
 @_query
 def snapshot_documents(spark, sf_dir):
     documents = summary.snapshot_document(_grouped(spark, sf_dir), processed_at=_processed_at())
-    return documents.select(
-        _snapshot_no(), "timestamp", "total_states",
-        F.try_element_at("states", F.lit(1))["squawk"].alias("first_squawk"),
-        F.try_element_at("states", F.lit(-1))["squawk"].alias("last_squawk"),
+    each = documents.select("snapshot_id", "timestamp", "total_states", F.posexplode_outer("states").alias("n", "state"))
+    return each.select(
+        _snapshot_no(), "timestamp", "total_states", "n", "state.icao24", "state.squawk",
+        "state.longitude", _seconds("state.last_contact", "last_contact"),
     )
 
 
@@ -255,8 +257,8 @@ def key_partitions(spark, sf_dir):
     spread = keyed.groupBy("key", "part").agg(F.count("*").alias("rows"))
     return spread.groupBy("key").agg(
         F.sum("rows").alias("records"),
-        (F.count("*") == 1).alias("_together"),
-    ).select("key", "records", (F.col("_together") | (F.col("key") == "unknown")).alias("together"))
+        (F.count("*") == 1).alias("together"),
+    )
 
 
 @_query
@@ -327,21 +329,21 @@ def track_paths(spark, sf_dir):
 
 @_query
 def track_geojson(spark, sf_dir):
-    features = tracks.track_geojson(tracks.assemble_tracks(_points(spark, sf_dir), GAP_SECONDS))
+    """All coordinates of tracks in parts of a few points."""
+    features = tracks.track_geojson(tracks.assemble_tracks(_points(spark, sf_dir), GAP_SECONDS, PART_POINTS))
     parsed = F.from_json(
         "geojson",
         "type STRING, properties STRUCT<icao24 STRING, callsign STRING, start_time STRING, end_time STRING,"
         " duration_seconds DOUBLE>, geometry STRUCT<type STRING, coordinates ARRAY<ARRAY<DOUBLE>>>",
     )
-    coordinates = F.col("f.geometry.coordinates")
-    return features.select(parsed.alias("f"), "segment").select(
-        "segment", "f.properties.*",
+    each = features.select(parsed.alias("f"), "segment", "part", "parts").select(
+        "segment", "part", "parts", "f.properties.*",
         F.col("f.type").alias("feature"),
         F.col("f.geometry.type").alias("geometry"),
-        F.size(coordinates).alias("coordinates"),
-        F.get(F.element_at(coordinates, 1), F.lit(0)).alias("first_longitude"),
-        F.get(F.element_at(coordinates, -1), F.lit(2)).alias("last_altitude"),
+        F.posexplode("f.geometry.coordinates").alias("n", "coordinate"),
     )
+    axes = {name: F.get("coordinate", F.lit(i)) for i, name in enumerate(("longitude", "latitude", "altitude"))}
+    return each.withColumns(axes).drop("coordinate")
 
 
 def _flight_view(found: DataFrame) -> DataFrame:
@@ -470,8 +472,10 @@ def stream_enriched(spark, sf_dir):
     jobs.run_enrichment_stream(envelopes, paths, _settings(root)).awaitTermination()
     return spark.read.schema(
         "icao24 STRING, callsign STRING, origin_country STRING, latitude DOUBLE, longitude DOUBLE,"
-        " altitude DOUBLE, velocity DOUBLE, heading DOUBLE, last_contact STRING, location STRING"
-    ).json(f"{paths.enriched}/ingest_date=*/batch_id=*")
+        " altitude DOUBLE, velocity DOUBLE, heading DOUBLE, last_contact STRING, location STRING, event_time STRING"
+    ).json(f"{paths.enriched}/ingest_date=*/batch_id=*").withColumn(
+        "event_time", F.col("event_time").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{6})?\+00:00$")
+    )
 
 
 @_query

@@ -143,6 +143,7 @@ _BODY = (
     "WHEN event_id % 103 != 0 AND event_id % 113 = 0 THEN 'states_not_a_list' "
     "WHEN reject_reason IS NULL THEN 'good' ELSE 'row' END"
 )
+_PASSED = ["icao24", "callsign", "origin_country", "latitude", "longitude", "altitude", "velocity", "heading"]
 _SENSORS_JSON = "CASE WHEN len(sensors) > 0 THEN '[' || array_to_string(sensors, ',') || ']' END"
 _ENRICHED = (
     "icao24, callsign, origin_country, latitude, longitude, altitude, velocity, heading, "
@@ -256,8 +257,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, event_id % 61 != 0 AS whole, event_id % 61 != 0 AS filled FROM states""",
         "transform_records": f"""
             SELECT event_id, result,
-                   CASE WHEN result = 'Ok' THEN icao24 END AS icao24,
-                   CASE WHEN result = 'Ok' THEN velocity END AS velocity,
+                   {", ".join(f"CASE WHEN result = 'Ok' THEN {c} END AS {c}" for c in _PASSED)},
                    CASE WHEN result = 'Ok' THEN {_iso('last_contact')} END AS last_contact,
                    CASE WHEN result = 'Ok' THEN {_EVENT_TIME} END AS event_time,
                    CASE WHEN result = 'Ok' THEN {_LOCATION} END AS location
@@ -283,11 +283,10 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (WHERE reject_reason IS NULL AND origin_country = 'NATION_3') AS total_states
             FROM feed GROUP BY ALL""",
         "snapshot_documents": """
-            SELECT snapshot_id, '2024-02-01T00:00:00' AS timestamp,
-                   count(*) FILTER (WHERE reject_reason IS NULL) AS total_states,
-                   arg_min(squawk, pos) FILTER (WHERE reject_reason IS NULL) AS first_squawk,
-                   arg_max(squawk, pos) FILTER (WHERE reject_reason IS NULL) AS last_squawk
-            FROM feed GROUP BY ALL""",
+            SELECT f.snapshot_id, '2024-02-01T00:00:00' AS timestamp, count(s.event_id) OVER (PARTITION BY f.snapshot_id) AS total_states,
+                   CASE WHEN s.event_id IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY f.snapshot_id ORDER BY s.pos) - 1 AS INTEGER) END AS n,
+                   s.icao24, s.squawk, s.longitude, s.last_contact
+            FROM (SELECT DISTINCT snapshot_id FROM feed) f LEFT JOIN states s ON s.snapshot_id = f.snapshot_id""",
         "delivery_ledger": by_time,
         "delivered_chunks": by_key,
         "delivery_outcome": f"""
@@ -299,7 +298,8 @@ def oracle_sql() -> dict[str, str]:
         "publish_key_counts": """
             SELECT coalesce(nullif(icao24, ''), 'unknown') AS key, count(*) AS records FROM states GROUP BY 1""",
         "key_partitions": """
-            SELECT coalesce(nullif(icao24, ''), 'unknown') AS key, count(*) AS records, true AS together
+            SELECT coalesce(nullif(icao24, ''), 'unknown') AS key, count(*) AS records,
+                   count(*) = 1 OR key != 'unknown' AS together
             FROM states GROUP BY 1""",
         "state_json": f"SELECT event_id, {_STATE} FROM states",
         "latest_state": _NEWEST,
@@ -326,11 +326,19 @@ def oracle_sql() -> dict[str, str]:
                    first_latitude, last_longitude, true AS in_order
             FROM segments""",
         "track_geojson": f"""
-            SELECT icao24, callsign, segment, {_iso('first_seen')} AS start_time, {_iso('last_seen')} AS end_time,
+            , numbered AS (
+              SELECT *, row_number() OVER (PARTITION BY icao24, callsign, segment ORDER BY last_contact, event_id) - 1 AS number,
+                     count(*) OVER track AS total, min(last_contact) OVER track AS first_seen, max(last_contact) OVER track AS last_seen
+              FROM cut WINDOW track AS (PARTITION BY icao24, callsign, segment)
+            ), placed AS (
+              SELECT *, number // 5 AS part, number % 5 + CASE WHEN number >= 5 THEN 1 ELSE 0 END AS n FROM numbered
+              UNION ALL SELECT *, number // 5 + 1, 0 FROM numbered WHERE number % 5 = 4 AND number + 1 < total
+            )
+            SELECT icao24, callsign, CAST(segment AS BIGINT) AS segment, part, CAST(ceil(total / 5) AS BIGINT) AS parts,
+                   {_iso('first_seen')} AS start_time, {_iso('last_seen')} AS end_time,
                    CAST(last_seen - first_seen AS DOUBLE) AS duration_seconds, 'Feature' AS feature,
-                   'LineString' AS geometry, CAST(points AS INTEGER) AS coordinates,
-                   first_longitude, last_altitude
-            FROM segments""",
+                   'LineString' AS geometry, CAST(n AS INTEGER) AS n, longitude, latitude, altitude
+            FROM placed""",
         "incoming_rollup": """
             SELECT 'incoming_records' AS metric, 'events' AS source, period_start, value FROM incoming""",
         "stream_rollup": """
@@ -352,7 +360,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, last_contact FROM states
             WHERE last_contact >= (SELECT max(last_contact) FROM states) - 48 * 3600""",
         "stream_enriched": f"""
-            SELECT {_ENRICHED} FROM states WHERE {_RESULT} = 'Ok'""",
+            SELECT {_ENRICHED}, true AS event_time FROM states WHERE {_RESULT} = 'Ok'""",
         "stream_errors": """
             SELECT event_id, '%%%' AS data, 'ProcessingFailed' AS reason FROM states WHERE event_id % 61 = 0""",
         "stream_published": f"""
