@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 from pyspark.sql.window import Window
 
-from aerolake.llm.common import by_frame, mapped, ready, remainder
+from aerolake.llm.common import by_frame, mapped, ready, remainder, stored
 
 ORDER = 4
 #: The sample that a model is learnt from: documents of a language at most, taken by a hash of their id.
 SAMPLE_DOCS = 400
+#: Languages that a model knows at most, those with the largest samples.
+LANGUAGES = 256
 #: Bytes scored at a time.
 SLICE = 1 << 20
 #: Slots of the table of code lengths of contexts that learning saw, as a power of two.
@@ -157,16 +159,20 @@ def scorer(model: Model) -> Scorer:
     return _scorers[model.name]
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, languages: int = LANGUAGES) -> Model:
     """A model of the languages in ``lang``; rows with a null text or lang are left out.
 
-    Learns from sample_docs documents of each language at most. Counting is done by Spark; the driver gets
+    Learns from sample_docs documents of each language at most, and of so many languages. Counting is done by Spark; the driver gets
     the distinct contexts of the sample.
     """
     ready(docs.sparkSession)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
     chosen = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_docs).select("doc_id", "lang")
+    chosen = stored(chosen, "language-sample")
+    known = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    # At most languages * sample_docs ids: small enough to send to where the texts are.
+    chosen = F.broadcast(chosen.join(F.broadcast(known), "lang"))
     sample = docs.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def counted(frame: pd.DataFrame) -> pd.DataFrame:
