@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from aerolake.llm.common import mapped
+from aerolake.llm.common import held, mapped
 
 #: Characters of a leaf, bytes of a leaf inside one match, tokens of a leaf of decoding.
 LEAF_CHARS = 8192
@@ -125,10 +125,9 @@ def _matches():
     return regex.compile(public_tokenizers.PATTERN)
 
 
-@lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
     """One for each Python worker."""
-    return Codec(path)
+    return held(path, lambda: Codec(path))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, column: str = "text", keep: list[str] | None = None) -> DataFrame:

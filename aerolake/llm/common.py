@@ -20,7 +20,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 BLANKS = " \t\n\x0b\x0c\r"
 
 #: Rows handed to Python at a time, so that a batch of long texts stays small.
-BATCH_ROWS = "1000"
+BATCH_ROWS = "500"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -50,6 +50,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, object] = {}
+
+
+def held(name: str, build: Callable[[], object]) -> object:
+    """What build makes, kept in this process until another name is asked for: workers live on between operators."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = build()
+    return _held[name]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -91,11 +102,12 @@ def mapped(
             values = step(batch.column(0).to_pylist())
             new = [pa.array(v, kind) for v, kind in zip(values, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=[*names, *made])
+        pa.default_memory_pool().release_unused()
 
     return picked.mapInArrow(run, StructType([*picked.schema.fields[1:], *[StructField(n, k) for n, k in made.items()]]))
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 8_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups of rows sorted by the first ``keys`` columns, and where each group starts."""
     waiting: list[pa.RecordBatch] = []
     size = 0

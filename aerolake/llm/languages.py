@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 from pyspark.sql.window import Window
 
-from aerolake.llm.common import by_frame, mapped, ready, remainder, stored
+from aerolake.llm.common import by_frame, held, mapped, ready, remainder, stored
 
 ORDER = 4
 #: The sample that a model is learnt from: documents of a language at most, taken by a hash of their id.
@@ -27,7 +27,7 @@ SAMPLE_DOCS = 400
 #: Languages that a model knows at most, those with the largest samples.
 LANGUAGES = 256
 #: Bytes scored at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Slots of the table of code lengths of contexts that learning saw, as a power of two.
 TABLE_BITS = 20
 
@@ -148,15 +148,9 @@ class Scorer:
         return out
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer(model: Model) -> Scorer:
     """One for each Python worker."""
-    if model.name not in _scorers:
-        _scorers.clear()
-        _scorers[model.name] = Scorer(model)
-    return _scorers[model.name]
+    return held(model.name, lambda: Scorer(model))
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, languages: int = LANGUAGES) -> Model:

@@ -51,7 +51,7 @@ _SCALE = _STREAM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) +
 _SHIFT = _STREAM.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _BASE = np.uint64(0xD1342543DE82EF95)
 _UNBASE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=8)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _BASE), np.full(size, _UNBASE)
     up[0] = down[0] = 1
