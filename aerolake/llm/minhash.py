@@ -301,7 +301,7 @@ def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], s
 
 
 def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int) -> DataFrame:
-    """(a, b): exact links that connect the classes (node, component) of each family as far as they are connected."""
+    """(a, b): exact links, or what they connect, of the classes (node, component) of each family."""
     texts = docs.join(families.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = mapped(texts, "text", {"shingles": BinaryType()}, lambda ts: [[shingle_set(t, words).tobytes() for t in ts]])
     facts = stored(sets.dropDuplicates().withColumnRenamed("doc_id", "node").join(classes.select("node", "sig"), "node"), "minhash-facts")
@@ -320,18 +320,24 @@ def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: lis
     best = Window.partitionBy("family").orderBy(F.desc("ties"), "node")
     pivots = tied.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PIVOTS).select("family", "node", _each_chunk())
 
-    def parts_of(links: DataFrame, of: DataFrame) -> DataFrame:
-        known = stored(components(links), "minhash-parts")
-        return of.join(known, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    def in_parts(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return rows.join(known, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
 
     columns = ["family", "chunk", "node", "part", "asks", "there"]
     asking = pivots.withColumns({"asks": F.lit(True), "there": F.lit(False)})
     staying = large.withColumns({"asks": F.lit(False), "there": F.lit(True)})
-    both = parts_of(found, asking.select("family", "chunk", "node", "asks", "there").unionByName(staying.select("family", "chunk", "node", "asks", "there")))
-    found = found.unionByName(stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links"))
-    open_ = parts_of(found, large.select("family", "node", "chunks"))
-    open_ = _asking(open_, "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
-    return found.unionByName(stored(_confirm(open_.select(columns), facts, bounds, similarity), "minhash-links"))
+    known = stored(components(found), "minhash-parts")
+    given = ["family", "chunk", "node", "asks", "there"]
+    both = in_parts(asking.select(given).unionByName(staying.select(given)), known)
+    tied = stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links")
+    known = stored(components(_stars(known).unionByName(tied)), "minhash-parts")
+    open_ = _asking(in_parts(large.select("family", "node", "chunks"), known), "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
+    return _stars(known).unionByName(stored(_confirm(open_.select(columns), facts, bounds, similarity), "minhash-links"))
+
+
+def _stars(known: DataFrame) -> DataFrame:
+    """(a, b): a link from each node to its component, which says as much as all links that led there."""
+    return known.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, chunk: int = CHUNK, band_rows: int | None = None) -> DataFrame:
@@ -387,7 +393,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     ties = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-ties")
     families = stored(components(ties), "minhash-apart")
     more = _between_families(members.join(live.distinct(), "bucket", "left_semi"), families, sigs, bounds, chunk)
-    families = stored(components(ties.unionByName(more)), "minhash-together")
+    more = stored(more, "minhash-more")
+    if not more.isEmpty():
+        families = stored(components(_stars(families).unionByName(more)), "minhash-together")
     links = _links(families, docs, classes, bounds, words, similarity, chunk).unionByName(_same_id(rows, classes))
     known = stored(components(links), "minhash-known")
     reps = classes.select("key", "node").join(known, "node", "left").select("key", F.coalesce("component", "node").alias("rep"))
