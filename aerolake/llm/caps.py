@@ -32,8 +32,10 @@ CROWD = 0.25
 SHARED = 16.0
 #: Codes with rotations of their own. Filters of one code are no independent draws, so a pair that one code misses often should get others.
 CODES = 8
-#: Most code words of a block; beyond, there are more blocks.
-WORDS = 4096
+#: Blocks of a code, at any size: filters of more and shorter blocks are more alike, and pairs that share none are far more.
+BLOCKS = 2
+#: Products of vectors and code words held at a time.
+PRODUCTS = 1 << 20
 #: Vectors of a filter that one task compares with each other.
 CHUNK = 2048
 #: Groups of this size at most are compared many at a time.
@@ -48,27 +50,25 @@ def _tail(low: np.ndarray, dim: int) -> np.ndarray:
     return np.interp(np.clip(low, -1, 1), grid, above / above[0])
 
 
-def caps(n: int, dim: int, cosine: float = COSINE) -> tuple[float, int, int]:
-    """(bound, blocks, code words of a block) of each code for n vectors."""
+def caps(n: int, dim: int, cosine: float = COSINE) -> tuple[float, int]:
+    """(bound, code words of a block) of each code for n vectors. A cap is never narrower than a link."""
     grid = np.linspace(0.05, 0.95, 1801)
-    bound = float(grid[np.searchsorted(-_tail(grid, dim), -min(0.02, CROWD / max(n, 1)))])
+    at = np.searchsorted(-_tail(grid, dim), -min(0.02, CROWD / max(n, 1)))
+    bound = min(float(grid[min(at, len(grid) - 1)]), cosine)
     x = np.linspace(bound, 1, 2001)[:-1]
     weight = (1 - x * x) ** ((dim - 3) / 2)
     near = _tail((bound - cosine * x) / np.sqrt((1 - cosine**2) * (1 - x * x)), dim - 1)
     meets = float((weight * near).sum() / weight.sum()) * float(_tail(np.array([bound]), dim)[0])
-    filters, blocks = SHARED / CODES / meets, 2
-    while filters ** (1 / blocks) > WORDS and blocks < dim // 2:
-        blocks += 1
-    return bound, blocks, math.ceil(filters ** (1 / blocks))
+    return bound, math.ceil((SHARED / CODES / meets) ** (1 / BLOCKS))
 
 
-@lru_cache(maxsize=2 * CODES)
-def _code(number: int, dim: int, blocks: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """A rotation and the code words of each block, the same in every worker."""
+@lru_cache(maxsize=1)
+def _code(number: int, dim: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A rotation and the code words of each block, the same in every worker; a worker holds one code at a time."""
     stream = np.random.Generator(np.random.PCG64([number, dim]))
     turn = np.linalg.qr(stream.standard_normal((dim, dim)))[0]
-    code = [stream.standard_normal((words, len(part))) for part in np.array_split(np.arange(dim), blocks)]
-    return turn, [c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(blocks) for c in code]
+    code = [stream.standard_normal((words, len(part))) for part in np.array_split(np.arange(dim), BLOCKS)]
+    return turn, [c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(BLOCKS) for c in code]
 
 
 def decoded(products: list[np.ndarray], bound: float) -> np.ndarray:
@@ -89,14 +89,15 @@ def filters_of(vectors: np.ndarray, n: int, cosine: float) -> list[np.ndarray]:
     dim = vectors.shape[1]
     if dim < 8:  # too few coordinates for a code: all meet in one filter
         return [np.zeros(1, dtype=np.int64) for _ in vectors]
-    bound, blocks, words = caps(n, dim, cosine)
+    bound, words = caps(n, dim, cosine)
+    rows = min(256, max(1, PRODUCTS // words))
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     out: list[list[np.ndarray]] = [[] for _ in vectors]
     for number in range(CODES):
-        turn, code = _code(number, dim, blocks, words)
-        for at in range(0, len(units), 256):
-            turned = units[at : at + 256] @ turn
-            products = [part @ c.T for part, c in zip(np.array_split(turned, blocks, axis=1), code)]
+        turn, code = _code(number, dim, words)
+        for at in range(0, len(units), rows):
+            turned = units[at : at + rows] @ turn
+            products = [part @ c.T for part, c in zip(np.array_split(turned, BLOCKS, axis=1), code)]
             for i in range(len(turned)):
                 out[at + i].append(decoded([p[i] for p in products], bound) * CODES + number)
     return [np.concatenate(x) for x in out]

@@ -164,6 +164,24 @@ def test_list_decoding_finds_all_filters():
     assert caps.decoded(parts, 3.0).tolist() == np.flatnonzero(sums >= 3.0).tolist()
 
 
+@pytest.mark.parametrize("n", [1_000, 10_000_000])
+def test_recall_is_the_same_at_any_size(n):
+    rng = np.random.default_rng(6)
+    x, z = rng.standard_normal((2, 250, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    pairs = zip(caps.filters_of(x, n, 0.9), caps.filters_of(y, n, 0.9))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.98
+
+
+@pytest.mark.parametrize("dim", [8, 12, 16, 64, 768])
+def test_filters_of_many_vectors(dim):
+    for n in (0, 1_000, 1_000_000, 10_000_000):
+        bound, words = caps.caps(n, dim)
+        assert 0 < bound <= 0.9 and 1 <= words < 50_000
+
+
 def nearest_brute(rows, every, k):
     good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and valid(v)]
     out = {}
