@@ -44,7 +44,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    return packing.pack(_table(spark, sf_dir, "documents"), added=packing.added_path())
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

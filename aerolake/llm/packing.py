@@ -10,9 +10,12 @@ each class is left and packed into the fullest bin that has room.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from aerolake.llm.bpe import codec
+from aerolake.llm.bpe import Codec, codec
 from aerolake.llm.common import ready, stored
 
 CAPACITY = 1024
@@ -76,7 +79,38 @@ def _sequence(level: int, worker: int, number: int) -> int:
     return level << 60 | worker << 33 | number
 
 
-def _pieces(docs: DataFrame, path: str, end_id: int, capacity: int, with_ids: bool) -> DataFrame:
+class Added:
+    """The added tokens of a vocabulary file of the tokenizers library, which it takes out of a text before anything else."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            tokens = json.load(file)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+            raise ValueError(f"{path}: added tokens that don't match just their own text")
+        self.ids = {t["content"]: t["id"] for t in tokens}
+        self.pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")") if tokens else None
+
+    def encode(self, codec: Codec, text: str) -> list[int]:
+        """The ids of added tokens where they stand, and of the stretches between, each encoded by itself."""
+        if self.pattern is None or self.pattern.search(text) is None:
+            return codec.encode(text)
+        out: list[int] = []
+        for i, part in enumerate(self.pattern.split(text)):
+            out += [self.ids[part]] if i % 2 else codec.encode(part)
+        return out
+
+
+def added_path() -> str:
+    """The file whose added tokens the queries count as such."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@lru_cache(maxsize=1)
+def _added(path: str) -> Added:
+    return Added(path)
+
+
+def _pieces(docs: DataFrame, path: str, added: str | None, end_id: int, capacity: int, with_ids: bool) -> DataFrame:
     """Cut documents, with the sequence and offset of each piece in a bin that its worker filled."""
     ready(docs.sparkSession)
     names = ["start", "length", "ids_crc32", "doc_tokens", "k", "worker", "serial", "sequence_id", "offset"]
@@ -97,7 +131,7 @@ def _pieces(docs: DataFrame, path: str, end_id: int, capacity: int, with_ids: bo
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = codec(path).encode(text or "")
+                ids = _added(added).encode(codec(path), text or "") if added else codec(path).encode(text or "")
                 ids.append(end_id)
                 data = np.array(ids, dtype="<u4")
                 for start, length, k in cuts(len(ids), capacity):
@@ -153,16 +187,17 @@ def _last(left: DataFrame, level: int, capacity: int) -> DataFrame:
     return left.withColumn("__group", F.lit(0)).groupBy("__group").applyInPandas(fit, _PLACED)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END, path: str | None = None, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END, path: str | None = None, with_ids: bool = False, added: str | None = None) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset, with ids on demand.
 
-    A document is the tokens of its text and end_id; strings of special tokens are ordinary
-    text. A null or empty text is end_id alone. Pieces of a document cover its tokens once; those of
+    A document is the tokens of its text and end_id. Strings of special tokens are ordinary
+    text, unless ``added`` names a vocabulary file of the tokenizers library: then its added tokens get
+    their ids, as that library gives them. A null or empty text is end_id alone. Pieces of a document cover its tokens once; those of
     a sequence lie side by side from 0 and have capacity tokens at most. Rows with the same or no
     doc_id are packed each. Other columns of the input are left out. An empty table gives no rows.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    pieces = stored(_pieces(docs, path, end_id, capacity, with_ids), "pieces")
+    pieces = stored(_pieces(docs, path, added, end_id, capacity, with_ids), "pieces")
     left = pieces.where(F.col("sequence_id").isNull()).select("worker", "serial", "length", "k", F.col("worker").alias("parent"))
     workers = (pieces.agg(F.max("worker")).first()[0] or 0) + 1
     level, placed = 1, []

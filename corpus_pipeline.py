@@ -46,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=packing.added_path())
 
 
 STAGES = [

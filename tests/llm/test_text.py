@@ -12,7 +12,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from aerolake.llm import bpe, lines, packing
+import corpus_pipeline
+from aerolake.llm import bpe, catalog, lines, packing
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BLANKS = " \t\n\x0b\x0c\r"
@@ -155,6 +156,25 @@ def test_packing(spark, parts, monkeypatch):
     assert 1 - sum(fills) / (1024 * len(fills)) < 0.03
 
 
+@pytest.mark.parametrize("query", ["op8_packing", "pipeline"])
+def test_queries_take_added_tokens_as_the_library_does(spark, tmp_path, query):
+    end = "<|endoftext|>"
+    texts = [f"a{end} b", end, end * 3, f" {end} \n{end}x", f"<|endoftext|{end}|>", f"{'word ' * 3000}{end}{'  more' * 3000}", "<|endoftext", *TEXTS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if query == "op8_packing":
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+        got = catalog.op8_packing(spark, str(tmp_path)).toPandas()
+    else:
+        got = corpus_pipeline.pack(spark, docs, str(tmp_path)).toPandas()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 275]
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], dtype="<u4")
+        pieces = got[got["doc_id"] == i].sort_values("start")
+        assert pieces["length"].sum() == len(ids) and set(pieces["doc_tokens"]) == {len(ids)}
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in pieces.itertuples())
+
+
 def test_packing_of_repeated_rows_and_none(spark):
     docs = spark.createDataFrame([(1, "same text"), (1, "same text"), (None, "same text")], "doc_id long, text string")
     got = packing.pack(docs, with_ids=True).toPandas()
