@@ -216,13 +216,13 @@ def _first_pass(members: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int
 def _between_families(members: DataFrame, families: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int]], chunk: int) -> DataFrame:
     """(a, b): for each bucket, surviving pairs that connect what families of it survive against each other.
 
-    Classes outside the bucket's largest family meet all classes of the bucket.
+    Classes outside the bucket's largest family meet all classes of the bucket, a chunk with a chunk at a time.
     """
     rows = members.join(families, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    rows = _asking(rows, "bucket", F.ceil(F.col("n") / chunk))
+    rows = _asking(rows.withColumn("room", F.lit(1 / chunk)), "bucket", F.ceil(F.col("n") / chunk))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, 2):
+        for table, starts in whole_groups(batches, 3):
             ids, part, asks = (table.column(c).to_numpy() for c in ("node", "part", "asks"))
             matrix, out = _matrix(table.column("sig")), []
             for at, end in zip(starts, np.append(starts[1:], len(ids))):
@@ -236,8 +236,8 @@ def _between_families(members: DataFrame, families: DataFrame, sigs: DataFrame,
                             label[label == label[o]] = label[i]
             yield _pairs(out)
 
-    together = rows.join(sigs, "node").select("bucket", "chunk", "node", "part", "asks", "sig")
-    return together.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node").mapInArrow(run, "a long, b long")
+    together = rows.join(sigs, "node").select("bucket", "ask", "chunk", "node", "part", "asks", "sig")
+    return together.repartition("bucket", "ask", "chunk").sortWithinPartitions("bucket", "ask", "chunk", "node").mapInArrow(run, "a long, b long")
 
 
 def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -245,31 +245,38 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _asking(rows: DataFrame, group: str, chunks: Column) -> DataFrame:
-    """(group, chunk, node, part, asks): all rows of groups with several parts in chunks, and those outside a group's largest part once for each chunk.
+    """(group, ask, chunk, node, part, asks): of groups with several parts, each chunk of those outside the largest part with each chunk of all.
 
-    ``chunks`` is the number of chunks, from the number ``n`` of a group's rows.
+    ``chunks`` is the number of chunks, from the number ``n`` of a group's rows; ``room`` of a row is the
+    share of a chunk that it takes. So (group, ask, chunk), which is one task, holds two chunks.
     """
-    parts = rows.groupBy(group, "part").agg(F.count(F.lit(1)).alias("size"))
-    main = parts.groupBy(group).agg(F.max(F.struct("size", "part")).alias("main"), F.sum("size").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    largest = F.struct("size", "part")
+    parts = rows.groupBy(group, "part").agg(F.count(F.lit(1)).alias("size"), F.sum("room").alias("room"))
+    main = parts.groupBy(group).agg(
+        F.max(largest).alias("main"), F.sum("size").alias("n"), F.count(F.lit(1)).alias("parts"), (F.sum("room") - F.max_by("room", largest)).alias("asking")
+    ).where("parts > 1")
     rows = rows.join(main, group).withColumn("chunks", chunks.cast("long"))
-    rows = stored(rows.select(group, "node", "part", "chunks", (F.col("part") != F.col("main.part")).alias("small")), "minhash-open")
-    right = rows.select(group, F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node", "part", F.lit(False).alias("asks"))
-    return right.unionByName(rows.where("small").select(group, _each_chunk(), "node", "part", F.lit(True).alias("asks")))
+    askers = F.greatest(F.lit(1), F.least("chunks", F.ceil("asking"))).cast("long").alias("askers")
+    rows = stored(rows.select(group, "node", "part", "chunks", askers, (F.col("part") != F.col("main.part")).alias("small")), "minhash-open")
+    place = lambda count: F.pmod(F.xxhash64("node"), count)
+    right = rows.select(group, _each("askers").alias("ask"), place("chunks").alias("chunk"), "node", "part", F.lit(False).alias("asks"))
+    left = rows.where("small").select(group, place("askers").alias("ask"), _each("chunks").alias("chunk"), "node", "part", F.lit(True).alias("asks"))
+    return right.unionByName(left)
 
 
-def _each_chunk() -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+def _each(count: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
 
 def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], similarity: int) -> DataFrame:
-    """(a, b): exact links of (family, chunk, node, part, asks, there) that connect parts.
+    """(a, b): exact links of (family, ask, chunk, node, part, asks, there) that connect parts.
 
     Those that ask are compared with the rows there of another part, unless links found before
     connect them already: by size, by signature, then on the full sets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, 2, 2 * CHUNK):
+        for table, starts in whole_groups(batches, 3, 2 * CHUNK):
             ids, part, asks, there = (table.column(c).to_numpy() for c in ("node", "part", "asks", "there"))
             raw, matrix, out = table.column("shingles").to_pylist(), _matrix(table.column("sig")), []
             for at, end in zip(starts, np.append(starts[1:], len(ids))):
@@ -296,8 +303,8 @@ def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], s
                     held[sets[i]] = False
             yield _pairs(out)
 
-    together = rows.join(facts, "node").select("family", "chunk", "node", "part", "asks", "there", "sig", "shingles")
-    return together.repartition("family", "chunk").sortWithinPartitions("family", "chunk", "node").mapInArrow(run, "a long, b long")
+    together = rows.join(facts, "node").select("family", "ask", "chunk", "node", "part", "asks", "there", "sig", "shingles")
+    return together.repartition("family", "ask", "chunk").sortWithinPartitions("family", "ask", "chunk", "node").mapInArrow(run, "a long, b long")
 
 
 def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int) -> DataFrame:
@@ -308,9 +315,10 @@ def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: lis
     sized = families.withColumnRenamed("component", "family").join(facts.select("node", F.octet_length("shingles").alias("bytes")), "node")
     sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     sizes = sizes.select("family", F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("bytes") / (8 * CHUNK_SHINGLES))).alias("chunks"))
-    rows = sized.select("family", "node").distinct().join(sizes, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    room = F.greatest(F.count(F.lit(1)) / chunk, F.sum("bytes") / (8 * CHUNK_SHINGLES)).alias("room")
+    rows = sized.groupBy("family", "node").agg(room).join(sizes, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     rows = stored(rows, "minhash-families")
-    alone = rows.select("family", "chunk", "node", F.col("node").alias("part"), F.lit(True).alias("asks"), F.lit(True).alias("there"))
+    alone = rows.select("family", F.lit(0).cast("long").alias("ask"), "chunk", "node", F.col("node").alias("part"), F.lit(True).alias("asks"), F.lit(True).alias("there"))
     found = stored(_confirm(alone, facts, bounds, similarity), "minhash-links")
     large = rows.where("chunks > 1")
     if large.isEmpty():
@@ -318,20 +326,20 @@ def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: lis
     # What chunks found by themselves is connected by those that had most links, then compared across chunks.
     tied = found.select(F.col("a").alias("node")).join(large, "node").groupBy("family", "chunks", "node").agg(F.count(F.lit(1)).alias("ties"))
     best = Window.partitionBy("family").orderBy(F.desc("ties"), "node")
-    pivots = tied.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PIVOTS).select("family", "node", _each_chunk())
+    pivots = tied.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PIVOTS).select("family", "node", _each("chunks").alias("chunk"))
 
     def in_parts(rows: DataFrame, known: DataFrame) -> DataFrame:
         return rows.join(known, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
 
-    columns = ["family", "chunk", "node", "part", "asks", "there"]
+    columns = ["family", "ask", "chunk", "node", "part", "asks", "there"]
     asking = pivots.withColumns({"asks": F.lit(True), "there": F.lit(False)})
     staying = large.withColumns({"asks": F.lit(False), "there": F.lit(True)})
     known = stored(components(found), "minhash-parts")
     given = ["family", "chunk", "node", "asks", "there"]
-    both = in_parts(asking.select(given).unionByName(staying.select(given)), known)
+    both = in_parts(asking.select(given).unionByName(staying.select(given)), known).withColumn("ask", F.lit(0).cast("long"))
     tied = stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links")
     known = stored(components(_stars(known).unionByName(tied)), "minhash-parts")
-    open_ = _asking(in_parts(large.select("family", "node", "chunks"), known), "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
+    open_ = _asking(in_parts(large.select("family", "node", "chunks", "room"), known), "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
     return _stars(known).unionByName(stored(_confirm(open_.select(columns), facts, bounds, similarity), "minhash-links"))
 
 

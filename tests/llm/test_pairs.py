@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aerolake.llm import caps, common, minhash, vptree
 
@@ -70,6 +71,16 @@ def test_near_duplicates(spark, words, similarity, chunk):
     assert got == near_brute(rows, words, similarity)
 
 
+def test_asking_tasks_hold_two_chunks_and_meet_all_pairs(spark):
+    rows = spark.createDataFrame([(1, i, i if i < 150 else 150, 1 / 16) for i in range(200)], "bucket long, node long, part long, room double")
+    tasks = defaultdict(lambda: (set(), set()))
+    for r in minhash._asking(rows, "bucket", F.ceil(F.col("n") / 16)).collect():
+        tasks[r.bucket, r.ask, r.chunk][r.asks].add(r.node)
+    assert max(len(there) + len(asks) for there, asks in tasks.values()) <= 2 * 2 * 16  # hashes don't fill chunks evenly
+    met = {(a, b) for there, asks in tasks.values() for a in asks for b in there}
+    assert met == {(a, b) for a in range(150) for b in range(200)}
+
+
 def test_links_between_clusters_of_a_bucket_are_found(spark):
     # A chain: neighbours are similar enough, the ends are not, and all share most of their text.
     words = ["c%d" % i for i in range(300)]
