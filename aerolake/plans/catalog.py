@@ -416,7 +416,7 @@ def alert_messages(spark, sf_dir):
 
 @_query
 def alarm_table(spark, sf_dir):
-    """All alarms over a month: records, lag, errors and refused deliveries, and a source that sends nothing."""
+    """All alarms over a month, and as far beyond as metrics go: records, lag, errors and refused deliveries, and a source that sends nothing."""
     rows = feed.events(spark, sf_dir)
     at = F.col("ts").cast("timestamp")
     ledger = _ledger(_grouped(spark, sf_dir))
@@ -431,8 +431,11 @@ def alarm_table(spark, sf_dir):
     watched = metrics.select("metric", "source").distinct().unionByName(
         rows.select(F.lit(alarms.INCOMING).alias("metric"), F.lit("silent").alias("source")).distinct()
     )
-    first, last = F.timestamp_seconds(F.lit(START)), F.timestamp_seconds(F.lit(END))
-    fired = alarms.alarm_table(metrics, watched, first, last)
+    span = metrics.agg(
+        F.least(F.timestamp_seconds(F.lit(START)), F.min("ts")).alias("first"),
+        F.greatest(F.timestamp_seconds(F.lit(END)), F.max("ts")).alias("last"),
+    )
+    fired = alarms.alarm_table(metrics, watched.crossJoin(span), F.col("first"), F.col("last"))
     return _rollup_view(fired.drop("message"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aerolake.functions.text import publish_key
 from aerolake.operators import alarms, countries, flights, latest, publish, tracks
 from aerolake.operators import publish as publish_module
+from aerolake.plans import catalog
 from aerolake.schemas import FLIGHT_SCHEMA, STATE_SCHEMA
 from aerolake.sources.countries import read_countries
 
@@ -274,3 +275,13 @@ def test_silent_source_is_judged(spark):
     message = alarms.format_alert(fired, spec).orderBy("period_start").first().message
     assert message.splitlines()[:2] == ["[ALERTA] stream-idle", "Status: 2024-01-01T00:20:00Z"]
     assert "Métrica: incoming_records = 0 (Limite: 1)" in message
+
+
+def test_alarm_table_judges_metrics_beyond_its_month(spark, tmp_path):
+    rows = spark.range(2_240_000, 2_240_500).selectExpr(
+        "id AS event_id", "CAST(timestamp_seconds(1704067200 + 31 - 1704067200 % 31) AS TIMESTAMP_NTZ) AS ts", "id % 40 AS user_id",
+        "'click' AS event_type", "CAST(200 AS DOUBLE) AS value", "'{\"k\": 5}' AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    fired = catalog.alarm_table(spark, str(tmp_path)).collect()
+    assert {r["metric"] for r in fired if r["source"] == "ledger"} == {"throttled_records", "throttled_requests"}
