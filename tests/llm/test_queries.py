@@ -2,7 +2,7 @@
 
 import pytest
 from oracle_check import compare, connect
-from test_text import packed_right
+from test_llm_text import packed_right
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
