@@ -21,14 +21,19 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 #: Rows handed to Python at a time, so that a batch of long texts stays small.
 BATCH_ROWS = "500"
+BATCH_BYTES = "32m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package and keeps their batches small."""
+    """Lets Python workers import this package and keeps their batches small, in rows and in bytes.
+
+    Plans are run later, so both settings stay with the session.
+    """
     environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, environment.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
@@ -135,6 +140,22 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 8_000
         yield table, starts(table)
 
 
+#: Parts that the links of one node are dealt into, so that a node with very many is not one task.
+SPLIT = 64
+
+
+def _with_least(links: DataFrame) -> DataFrame:
+    """(u, v, m): links with the smallest v of their u, or u itself.
+
+    A node's links lie in up to SPLIT parts by their other end. The smallest of each part and then of
+    each node is found, and handed back to the parts that the node has.
+    """
+    part = F.pmod(F.xxhash64("v"), F.lit(SPLIT))
+    parted = links.withColumn("part", part)
+    least = parted.groupBy("u", "part").agg(F.min("v").alias("m")).groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_list("part").alias("parts"))
+    return parted.join(least.select("u", "m", F.explode("parts").alias("part")), ["u", "part"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links reach from each node of (a, b).
 
@@ -146,11 +167,11 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())) != before:
         before = now
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "links")
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_least(large)
+        least = small.select("u", F.col("m").alias("v"))
+        small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pairs = stored(small.unionByName(least).where("u != v").distinct(), "links")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -1,6 +1,7 @@
 """Near-duplicate documents: MinHash bands, Bayesian pruning in batches, exact confirmation.
 
 Documents with the same shingle set are one class, and what follows works on classes.
+A word is 128 bits of a hash: candidates are found by one half of them and confirmed by the other.
 Classes that agree on a band share a bucket. Inside a bucket, a pivot is compared with the
 others, one batch of signature bytes after the other; a pair goes when the posterior chance
 that it is similar enough falls below the miss probability. Those that survive are
@@ -15,9 +16,8 @@ already connect are skipped, all others are compared.
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +43,11 @@ CHUNK_SHINGLES = 1 << 20
 #: Classes of a large family that are compared with all its chunks first.
 PIVOTS = 8
 
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _STREAM = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _STREAM.integers(0, 1 << 64, 256, dtype=np.uint64)
 _SCALE = _STREAM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _STREAM.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _BASE = np.uint64(0xD1342543DE82EF95)
-_UNBASE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 _SLICE = 1 << 18
 
 
@@ -61,46 +58,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _BASE), np.full(size, _UNBASE)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, with A-Z in lower case."""
-    text = text.lower()
+def word_keys(text: bytes) -> np.ndarray:
+    """128 bits of each word, with A-Z in lower case, as two columns of 64."""
     out, at = [], 0
     while at < len(text):
-        end = min(len(text), at + _SLICE)
-        while end < len(text) and not _BLANK[text[end]]:
-            end += 1
-        data = np.frombuffer(text, dtype=np.uint8, count=end - at, offset=at)
-        inside = np.zeros(len(data) + 2, dtype=np.int8)
-        inside[1:-1] = ~_BLANK[data]
-        edges = np.flatnonzero(np.diff(inside))
-        starts, ends = edges[::2], edges[1::2]
-        up, down = _powers(1 << max(14, (len(data) - 1).bit_length()))
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-        out.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        cut = _BLANK.search(text, min(len(text), at + _SLICE))
+        end = cut.start() if cut else len(text)
+        out.append(b"".join(map(xxhash.xxh3_128_digest, text[at:end].lower().split())))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    return np.frombuffer(b"".join(out), dtype="<u8").reshape(-1, 2)
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
+def word_hashes(text: bytes) -> np.ndarray:
+    """64 bits of each word, with A-Z in lower case."""
+    return word_keys(text)[:, 0]
+
+
+def _runs(hashes: np.ndarray, words: int) -> np.ndarray:
     """Hashes of the distinct runs of so many words, sorted; of all words, if there are fewer; none without words."""
-    hashes = word_hashes((text or "").encode())
     size = min(words, len(hashes))
     if not size:
-        return hashes
+        return np.zeros(0, dtype=np.uint64)
     runs = hashes[: len(hashes) - size + 1] + np.uint64(size)
     for k in range(1, size):
         runs = mix(runs * _BASE + hashes[k : len(hashes) - size + 1 + k])
     return np.unique(mix(runs))
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The set by which candidates are found."""
+    return _runs(word_hashes((text or "").encode()), words)
+
+
+def shingle_check(text: str | None, words: int) -> np.ndarray:
+    """The same set by other bits of the words: confirming on it leaves no link to a chance of the first."""
+    return _runs(word_keys((text or "").encode())[:, 1], words)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over the set."""
     least = np.full(HASHES, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -310,7 +304,7 @@ def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], s
 def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int) -> DataFrame:
     """(a, b): exact links, or what they connect, of the classes (node, component) of each family."""
     texts = docs.join(families.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    sets = mapped(texts, "text", {"shingles": BinaryType()}, lambda ts: [[shingle_set(t, words).tobytes() for t in ts]])
+    sets = mapped(texts, "text", {"shingles": BinaryType()}, lambda ts: [[shingle_check(t, words).tobytes() for t in ts]])
     facts = stored(sets.dropDuplicates().withColumnRenamed("doc_id", "node").join(classes.select("node", "sig"), "node"), "minhash-facts")
     sized = families.withColumnRenamed("component", "family").join(facts.select("node", F.octet_length("shingles").alias("bytes")), "node")
     sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
@@ -366,7 +360,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     def step(texts: list[str | None]) -> list[list]:
         out: list[list] = [[], [], [], []]
         for text in texts:
-            shingles = shingle_set(text, words)
+            keys = word_keys((text or "").encode())
+            shingles = _runs(keys[:, 0], words)
             out[0].append(len(shingles))
             if not len(shingles):
                 for column in out[1:]:
@@ -376,7 +371,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
             bands = np.arange(HASHES // per_band, dtype=np.uint64)
             for k in range(per_band):
                 bands = mix(bands * _BASE + least[k::per_band][: len(bands)])
-            out[1].append(xxhash.xxh3_128_digest(shingles.tobytes()))
+            out[1].append(xxhash.xxh3_128_digest(shingles.tobytes() + _runs(keys[:, 1], words).tobytes()))
             out[2].append(bands.view(np.int64))
             out[3].append(least.astype(np.uint8).tobytes())
         return out

@@ -117,12 +117,37 @@ def test_word_hashes_don_t_depend_on_slices(monkeypatch):
     assert (minhash.word_hashes(text) == whole).all() and len(whole) == 150
 
 
+def opposites(size):
+    """Two words of letters a and b that hashes by powers of one base can't tell apart."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_differ_don_t_link(spark):
+    rows = [(k, word) for k, word in enumerate([*opposites(1024), *opposites(4096)])]
+    rows += [(10 + k, f"{word} second third fourth fifth sixth") for k, (_, word) in enumerate(rows)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(r["kept"] and r["n_shingles"] > 0 for r in found.collect())
+
+
+def test_a_word_of_many_megabytes_is_one_word():
+    assert len(minhash.shingle_set("x" * 30_000_000 + " y", 1)) == 2
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 101)], "a long, b long")
     got = dict(map(tuple, common.components(edges).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_components_of_a_large_star(spark):
+    leaves = spark.range(1, 5000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    got = common.components(leaves.unionByName(spark.createDataFrame([(7000, 4999), (7000, 7001), (8000, 8001)], "a long, b long")))
+    assert got.groupBy("component").count().orderBy("component").collect() == [(0, 5002), (8000, 2)]
+
+
 def valid(v):
     return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
