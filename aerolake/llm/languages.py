@@ -22,14 +22,16 @@ from pyspark.sql.window import Window
 from aerolake.llm.common import by_frame, held, mapped, ready, remainder, stored
 
 ORDER = 4
-#: The sample that a model is learnt from: documents of a language at most, taken by a hash of their id.
+#: The sample that a model is learnt from: documents of a language at most, and of all languages together
+#: (but one of each at least), taken by a hash of their id.
 SAMPLE_DOCS = 400
-#: Languages that a model knows at most, those with the largest samples.
-LANGUAGES = 256
+SAMPLE_TOTAL = 20_000
 #: Bytes scored at a time.
 SLICE = 1 << 18
-#: Slots of the table of code lengths of contexts that learning saw, as a power of two.
+#: Slots of the table of code lengths of contexts that learning saw, as a power of two, and the code lengths
+#: that it and a slice may have: with many languages both get shorter.
 TABLE_BITS = 20
+CELLS = 1 << 24
 
 _MASK = [(1 << 8 * (k + 1)) - 1 for k in range(ORDER + 1)]
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -101,16 +103,21 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.languages = model.languages
         self.trees = [Tree.of(g, n) for g, n in zip(model.grams, model.counts)]
+        room = CELLS // max(1, len(self.trees))
+        self.table_bits = max(1, min(TABLE_BITS, room.bit_length() - 1))
+        self.slice = max(1, min(SLICE, room))
         known = np.unique(np.concatenate([*model.grams, np.zeros(0, np.uint64)]))
         slot = self._slot(known)
-        self.keys = np.full(1 << TABLE_BITS, np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.keys = np.full(1 << self.table_bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.keys[slot] = known  # of keys that share a slot the last stays, the others are looked up
-        self.values = np.zeros((1 << TABLE_BITS, len(self.trees)), dtype=np.float32)
-        self.values[slot] = self.cost(known)
+        slot = np.unique(slot)
+        self.values = np.zeros((1 << self.table_bits, len(self.trees)), dtype=np.float32)
+        for at in range(0, len(slot), self.slice):
+            part = slot[at : at + self.slice]
+            self.values[part] = self.cost(self.keys[part])
 
-    @staticmethod
-    def _slot(keys: np.ndarray) -> np.ndarray:
-        return ((keys * _SPREAD) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _SPREAD) >> np.uint64(64 - self.table_bits)).astype(np.int64)
 
     def cost(self, keys: np.ndarray) -> np.ndarray:
         return np.stack([t.cost(keys) for t in self.trees], axis=1) if self.trees else np.zeros((len(keys), 0))
@@ -138,11 +145,11 @@ class Scorer:
             waiting, owners, size = [], [], 0
 
         for i, text in enumerate(texts):
-            for at in range(0, len(text), SLICE):
-                waiting.append(grams(text[at : at + SLICE], text[max(0, at - ORDER) : at]))
+            for at in range(0, len(text), self.slice):
+                waiting.append(grams(text[at : at + self.slice], text[max(0, at - ORDER) : at]))
                 owners.append(i)
                 size += len(waiting[-1])
-                if size >= SLICE:
+                if size >= self.slice:
                     settle()
         settle()
         return out
@@ -153,21 +160,24 @@ def scorer(model: Model) -> Scorer:
     return held(model.name, lambda: Scorer(model))
 
 
-def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, languages: int = LANGUAGES) -> Model:
-    """A model of the languages in ``lang``; rows with a null text or lang are left out.
+def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL) -> Model:
+    """A model of all languages in ``lang``; rows with a null text or lang are left out.
 
-    Learns from sample_docs documents of each language at most, and of so many languages. Counting is done by Spark; the driver gets
-    the distinct contexts of the sample.
+    Learns from sample_docs documents of each language at most and from sample_total in all, but from one of
+    each language at least; of rows that share id and language, from one text. Counting is done by Spark; the
+    driver gets the distinct contexts of the sample.
     """
     ready(docs.sparkSession)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    chosen = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_docs).select("doc_id", "lang")
-    chosen = stored(chosen, "language-sample")
-    known = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
-    # At most languages * sample_docs ids: small enough to send to where the texts are.
-    chosen = F.broadcast(chosen.join(F.broadcast(known), "lang"))
-    sample = docs.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    good = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    labelled = good.select("doc_id", "lang")
+    ranked = labelled.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_docs)
+    chosen = stored(ranked.select("doc_id", "lang", "n"), "language-sample")
+    each = max(1, sample_total // max(1, chosen.select("lang").distinct().count()))
+    # At most sample_total ids, or one of each language: small enough to send to where the texts are.
+    chosen = F.broadcast(chosen.where(F.col("n") <= each).drop("n").withColumnsRenamed({"doc_id": "__id", "lang": "__lang"}))
+    found = good.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")), "left_semi")
+    sample = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def counted(frame: pd.DataFrame) -> pd.DataFrame:
         parts = []

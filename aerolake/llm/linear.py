@@ -9,9 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
-from pyspark.sql.window import Window
 
-from aerolake.llm.common import mapped
+from aerolake.llm.common import mapped, stored
 
 #: Slots of the hashed features, as a power of two.
 SLOT_BITS = 18
@@ -109,18 +108,36 @@ def fit(rows: Rows, labels: np.ndarray, prior: float, ridge: float, swaps: Rows
     return Linear(weights, float(w[-1] + np.log(prior / (1 - prior))))
 
 
+def _first(known: DataFrame, label: int, count: int, rows: int) -> DataFrame:
+    """The ids of this label with the smallest hashes, so many at most.
+
+    Of more labels than that, those below a limit of the hash are taken first, which leaves a few more
+    than wanted; so neither a hot id nor a long table reaches the task that orders them.
+    """
+    ids = known.where(F.col("label") == label)
+    if count > 2 * rows:
+        ids = ids.where(F.xxhash64("doc_id") < int(-(1 << 63) + (1 << 64) * min(1.0, 1.5 * rows / count)))
+    return ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> tuple[DataFrame, float]:
     """(text, label) of a bounded sample of labelled documents, and the share of label 1 among all labels.
 
-    Labels that are neither 0 nor 1, and documents without a text, are left out.
+    Labels that are neither 0 nor 1, and documents without a text, are left out. Of rows that share an id one
+    text is taken, the smallest; an id with both labels may be in the sample with both.
     """
-    known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    total = known.agg(F.count(F.lit(1)), F.sum("label")).first()
-    prior = ((total[1] or 0) + 1) / (total[0] + 2)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "label")
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
+    counts = dict(map(tuple, known.groupBy("label").agg(F.count(F.lit(1))).collect()))
+    zeros, ones = counts.get(0, 0), counts.get(1, 0)
+    prior = (ones + 1) / (zeros + ones + 2)
+    chosen = stored(_first(known, 0, zeros, rows).unionByName(_first(known, 1, ones, rows)), "label-sample")
     # At most 2 * rows ids: small enough to send to where the texts are.
-    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label"), prior
+    found = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label"), prior
+
+
+#: How features travel: slots and values take four bytes each.
+_KINDS = {"slots": np.int32, "values": np.float32, "sizes": np.int64}
 
 
 def collected(rows: DataFrame, features, more=None) -> tuple[Rows, np.ndarray, Rows]:
@@ -129,10 +146,11 @@ def collected(rows: DataFrame, features, more=None) -> tuple[Rows, np.ndarray, R
     def step(texts: list[str]) -> list[list]:
         own = [Rows.of(*[[part] for part in features(t)]) for t in texts]
         changes = [Rows.of(*map(list, zip(*found))) if more and (found := more(t)) else Rows.of([], []) for t in texts]
-        return [[getattr(r, part).tobytes() for r in side] for side in (own, changes) for part in ("slots", "values", "sizes")]
+        return [[getattr(r, part).astype(kind).tobytes() for r in side] for side in (own, changes) for part, kind in _KINDS.items()]
 
-    names = [f"{side}_{part}" for side in ("own", "change") for part in ("slots", "values", "sizes")]
+    names = [f"{side}_{part}" for side in ("own", "change") for part in _KINDS]
     found = mapped(rows, "text", {n: BinaryType() for n in names}, step, ["label"]).collect()
-    kinds = (np.int64, np.float64, np.int64)
-    own, changes = (Rows(*[np.frombuffer(b"".join(r[n] for r in found), dtype=k) for n, k in zip(names[at : at + 3], kinds)]) for at in (0, 3))
+    own, changes = (
+        Rows(*[np.frombuffer(b"".join(r[f"{side}_{part}"] for r in found), dtype=kind) for part, kind in _KINDS.items()]) for side in ("own", "change")
+    )
     return own, np.array([r["label"] for r in found], dtype=float), changes

@@ -51,6 +51,21 @@ def test_code_lengths_by_definition(monkeypatch):
     assert np.allclose(languages.Scorer(model).bits(asked), want, rtol=1e-4)
     monkeypatch.setattr(languages, "TABLE_BITS", 2)
     assert np.allclose(languages.Scorer(model).bits(asked), want, rtol=1e-4)
+    monkeypatch.setattr(languages, "CELLS", 6)
+    assert np.allclose(languages.Scorer(model).bits(asked), want, rtol=1e-4)
+
+
+def test_any_number_of_languages(spark):
+    words = {f"l{k:03}": [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{x}{k}" for x in ("um", "or", "ek", "al", "is")] for k in range(300)}
+    rnd = random.Random(7)
+    rows = [(10 * k + i, " ".join(rnd.choices(own, k=30)), lang) for k, (lang, own) in enumerate(words.items()) for i in range(3)]
+    rows += [(0, rows[0][1], "l000")] * 500  # copies of one document are one of the sample
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = languages.learn(docs, sample_docs=2, sample_total=600)
+    assert model.languages == sorted(words)
+    wrong = languages.predict_language(docs, model).where("lang != lang_pred")
+    assert wrong.count() == 0
+    assert languages.learn(docs, sample_total=5).languages == sorted(words)
 
 
 def test_languages_of_odd_rows(spark):
