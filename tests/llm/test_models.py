@@ -131,6 +131,102 @@ def test_swaps_make_group_mentions_neutral(spark):
     assert abs(scores[1.0][1] - scores[1.0][2]) < 0.1 and scores[1.0][3] > 0.7
 
 
+def newton(x, y, prior, ridge, changes, penalty):
+    """The minimum of the same loss over dense rows: weights and bias."""
+    n, k = x.shape
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n
+    design = np.hstack([x, np.ones((n, 1))])
+    fixed = np.zeros((k + 1, k + 1))
+    fixed[:k, :k] = ridge * np.eye(k) + 2 * penalty * changes.T @ changes / max(1, len(changes))
+    w = np.zeros(k + 1)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-design @ w))
+        slope = design.T @ (weight * (p - y)) + fixed @ w
+        w -= np.linalg.solve(design.T @ ((weight * p * (1 - p))[:, None] * design) + fixed + 1e-12 * np.eye(k + 1), slope)
+    return w[:k], w[k] + np.log(prior / (1 - prior))
+
+
+@pytest.mark.parametrize("penalty", [0.0, 0.3])
+def test_the_classifier_is_at_the_minimum(penalty):
+    rng = np.random.default_rng(3)
+    truth = np.array([2.0, -2.0, 1.5, -1.5, 1.0])
+    x = (rng.random((1500, 5)) < 0.4).astype(float)
+    y = (rng.random(1500) < 1 / (1 + np.exp(-(x @ truth - 0.4)))).astype(float)
+    changes = np.zeros((60, 5))
+    changes[:, 0], changes[:, 2] = -1, 1
+    slots = np.array([11, 222, 3333, 44444, 200000])
+    sparse = lambda m: linear.Rows.of([slots[r != 0] for r in m], [r[r != 0] for r in m])
+    model = linear.fit(sparse(x), y, 0.2, 1e-3, sparse(changes), penalty)
+    weights, bias = newton(x, y, 0.2, 1e-3, changes, penalty)
+    assert np.allclose(model.weights[slots], weights, atol=0.02) and abs(model.bias - bias) < 0.02
+    assert np.count_nonzero(model.weights) == 5
+    gap = abs(model.weights[11] - model.weights[3333])
+    assert (gap < 0.3) if penalty else (gap > 0.3)
+
+
+def test_swaps_by_definition():
+    slot = lambda word: int(toxicity._slots(word.encode())[0])
+    own = {a for a, b in (tuple(x[0]) for x in toxicity.swaps("The Muslim, the jewish and a garden"))}
+    assert own == {slot("muslim"), slot("jewish")}
+    kind = next(k for k in toxicity.IDENTITIES if "muslim" in k)
+    want = {(slot(a), slot(b)) for a in ("muslim", "jewish") for b in kind if b not in ("muslim", "jewish")}
+    found = toxicity.swaps("The Muslim, the jewish and a garden")
+    assert {tuple(x[0]) for x in found} == want and all(x[1] == [-1.0, 1.0] for x in found)
+
+
+def shrunk(docs, prior):
+    """(score, host_share, path_share) of rows (host, path, evidence, p) by plain loops."""
+    base = np.log(prior / (1 - prior))
+
+    def weight(groups):
+        total = noises = more = 0.0
+        for n, good, parent in groups:
+            if n > 1:
+                noise = parent * (1 - parent)
+                total, noises, more = total + n * (good / n - parent) ** 2, noises + noise, more + (n - 1) * noise
+        if not more:
+            return quality.MOST_WEIGHT
+        between = (total - noises) / more
+        return quality.MOST_WEIGHT if between <= 1 / (quality.MOST_WEIGHT + 1) else min(quality.MOST_WEIGHT, max(quality.LEAST_WEIGHT, 1 / between - 1))
+
+    p = [1 / (1 + np.exp(-(e + base))) for _, _, e in docs]
+    hosts, paths = defaultdict(lambda: [0, 0.0]), defaultdict(lambda: [0, 0.0])
+    for (h, s, _), own in zip(docs, p):
+        for group in (hosts[h], paths[h, s]):
+            group[0] += 1
+            group[1] += own
+    share = (sum(p) + prior) / (len(p) + 1)
+    a = weight([(n, g, share) for n, g in hosts.values()])
+    b = weight([(n, g, (share * a + hosts[h][1]) / (a + hosts[h][0])) for (h, _), (n, g) in paths.items()])
+    out = []
+    for (h, s, e), own in zip(docs, p):
+        host = (share * a + hosts[h][1] - own) / (a + hosts[h][0] - 1)
+        path = (host * b + paths[h, s][1] - own) / (b + paths[h, s][0] - 1)
+        held = min(max(path, 1e-6), 1 - 1e-6)
+        out.append((1 / (1 + np.exp(-(e + np.log(held / (1 - held))))), host, path))
+    return out
+
+
+def test_posteriors_by_plain_loops(spark):
+    rnd = random.Random(11)
+    weights = np.zeros(1 << linear.SLOT_BITS, dtype=np.float32)
+    for text, w in (("word", 2.0), ("###", -2.5), ("12", 0.5)):
+        weights[quality.features(text)[0][0]] = w
+    model = linear.Linear(weights, 0.2)
+    rows = []
+    for i in range(400):
+        host = rnd.choice(["a", "b", "c", None, "tiny%d" % i])
+        good = {"a": 0.9, "b": 0.2}.get(host, 0.6)
+        rows.append((i, host, rnd.choice(["x", "y", None]), "word" if rnd.random() < good else rnd.choice(["###", "12", ""])))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").repartition(3)
+    got = {r["doc_id"]: r for r in quality.score_quality(docs, model, 0.7).collect()}
+    want = shrunk([(h, s, got[i]["evidence"]) for i, h, s, _ in rows], 0.7)
+    base = np.log(0.7 / 0.3)
+    for (i, _, _, text), (score, host, path) in zip(rows, want):
+        assert abs(got[i]["evidence"] - (model.logit(*quality.features(text)) - base)) < 1e-9
+        assert np.allclose([got[i]["score"], got[i]["host_share"], got[i]["path_share"]], [score, host, path], atol=1e-9)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = spark.createDataFrame([(i, "good words" if i % 2 else "bad words") for i in range(40)] + [(99, None), (None, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(40)] + [(99, 1), (None, 1), (5, None), (7, 3)], "doc_id long, toxic int")
