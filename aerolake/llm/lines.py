@@ -1,13 +1,19 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run is a table of (key, docs, last): a line's hash, how many documents hold it and the
-largest of their ids, sorted by key in each of its files. A batch of documents adds its own
-run to level 0; when a level has ``fan_in`` runs, they are merged into one run of the next
-level. A batch's lines are then anti-joined with the runs.
+A run is a table of (key, docs, last, fresh), bucketed by key and sorted in each bucket: a line's hash, how
+many documents of the run hold it, the largest of their ids, and whether no run before held it. A batch
+of documents is merge-joined with all runs: its lines that no run knows are fresh, the rest adds to what is
+known. Both form the batch's own run of level 0; when a level has ``fan_in`` runs, they are
+compacted into one run of the next level. Old runs are never shuffled or sorted again, since all have the
+same buckets.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +28,9 @@ FAN_IN = 2
 
 _BLANK_BYTES = BLANKS.encode()
 
+#: The setting by which bucketed tables are merged in the order in which they lie.
+_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
 
 def line_key(line: bytes, min_length: int) -> bytes | None:
     """The hash of a line without outer blanks and with A-Z in lower case; None for a short one."""
@@ -32,39 +41,112 @@ def line_key(line: bytes, min_length: int) -> bytes | None:
 
 
 class LineRuns:
-    """The runs of all documents seen, in a shared folder."""
+    """The runs of all documents seen, in a shared folder, which may be opened again by another session.
+
+    ``manifest/<n>`` says which runs count after step n, so a step that fails leaves what was before. The
+    number of buckets is that of the session's shuffle partitions when the folder is new, and stays.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, fan_in: int = FAN_IN) -> None:
-        self.spark, self.fan_in = spark, fan_in
+        self.spark, self.fan_in = ready(spark), fan_in
         self.path = path or shared_dir(spark, "line-runs")
         self.levels: list[list[str]] = [[]]
-        self.written = 0
-
-    def _write(self, run: DataFrame, level: int) -> None:
-        target = f"{self.path}/level={level}/run={self.written}"
+        self.written, self.kind = 0, None
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._reopen()
+
+    def _folder(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _reopen(self) -> None:
+        folder, files = self._folder("manifest")
+        if not files.exists(folder):
+            return
+        steps = [int(f.getPath().getName()) for f in files.listStatus(folder) if files.exists(self._folder(f"manifest/{f.getPath().getName()}/_SUCCESS")[0])]
+        if steps:
+            self.written = max(steps)
+            state = self.spark.read.json(f"{self.path}/manifest/{self.written}").first()
+            self.buckets, self.kind = state["buckets"], state["kind"]
+            self.levels = [list(level) for level in state["levels"]]
+
+    def _record(self) -> None:
+        """What counts from now on; runs that no longer do are deleted."""
+        state = self.spark.createDataFrame([(self.buckets, self.kind, self.levels)], "buckets int, kind string, levels array<array<string>>")
+        state.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/{self.written}")
+        folder, files = self._folder("runs")
+        live = {run for level in self.levels for run in level}
+        for found in files.listStatus(folder):
+            if found.getPath().getName() not in live:
+                files.delete(found.getPath(), True)
+
+    def open(self, run: str) -> DataFrame:
+        """The rows of a run, with its buckets and their order known to Spark."""
+        table = f"line_run_{uuid.uuid4().hex}"
+        columns = f"key BINARY, docs BIGINT, last {self.kind}, fresh BOOLEAN"
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/runs/{run}'")
+        rows = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # of the name only: the files stay
+        return rows
+
+    def _write(self, rows: DataFrame, level: int) -> None:
         self.written += 1
-        run.sortWithinPartitions("key").write.option("compression", "zstd").parquet(target)
+        run, table = f"{self.written}-level-{level}", f"line_run_{uuid.uuid4().hex}"
+        placed = rows.select("key", "docs", "last", "fresh").write.bucketBy(self.buckets, "key").sortBy("key").option("compression", "zstd")
+        placed.mode("overwrite").option("path", f"{self.path}/runs/{run}").saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(target)
+        self.levels[level].append(run)
+
+    @contextmanager
+    def _in_order(self) -> Iterator[None]:
+        """Lets Spark rely on the order of a bucket's file while a step runs."""
+        before = self.spark.conf.get(_ORDER, "false")
+        self.spark.conf.set(_ORDER, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_ORDER, before)
 
     def add(self, lines: DataFrame) -> None:
         """Adds a batch of (doc_id, key), each pair once, of documents not added before."""
-        self._write(lines.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last")), 0)
-        level = 0
-        while len(self.levels[level]) >= self.fan_in:
-            merged = self._merged(self.levels[level])
-            self.levels[level] = []
-            level += 1
-            self._write(merged, level)
-
-    def _merged(self, paths: list[str]) -> DataFrame:
-        runs = self.spark.read.parquet(*paths)
-        return runs.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+        self.kind = self.kind or lines.schema["doc_id"].dataType.simpleString()
+        batch = lines.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last"))
+        fresh = F.lit(True)
+        with self._in_order():
+            for n, run in enumerate(run for level in self.levels for run in level):
+                known = self.open(run).where("fresh").select("key", F.lit(True).alias(f"known{n}"))
+                batch = batch.join(known.hint("merge"), "key", "left")
+                fresh = fresh & F.col(f"known{n}").isNull()
+            self._write(batch.withColumn("fresh", fresh), 0)
+            self._record()
+            level = 0
+            while len(self.levels[level]) >= self.fan_in:
+                merged = self._merged(self.levels[level])
+                self.levels[level] = []
+                level += 1
+                self._write(merged, level)
+                self._record()
+
+    def _merged(self, runs: list[str]) -> DataFrame:
+        """One row for each key of these runs: two runs are merged as they lie, more also shuffle what they make."""
+        rows = self.open(runs[0])
+        for run in runs[1:]:
+            own, other = rows.alias("a"), self.open(run).alias("b")
+            both = own.join(other.hint("merge"), F.col("a.key") == F.col("b.key"), "full")
+            rows = both.select(
+                F.coalesce("a.key", "b.key").alias("key"),
+                (F.coalesce("a.docs", F.lit(0)) + F.coalesce("b.docs", F.lit(0))).alias("docs"),
+                F.greatest("a.last", "b.last").alias("last"),
+                (F.coalesce("a.fresh", F.lit(False)) | F.coalesce("b.fresh", F.lit(False))).alias("fresh"),
+            )
+        return rows
 
     def repeated(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """(key, last) of lines that at least so many documents hold."""
-        return self._merged([p for level in self.levels for p in level]).where(F.col("docs") >= min_docs).select("key", "last")
+        runs = [run for level in self.levels for run in level]
+        return self._merged(runs).where(F.col("docs") >= min_docs).select("key", "last")
 
 
 def line_keys(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -119,7 +201,8 @@ def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = M
     runs = LineRuns(spark, fan_in=fan_in)
     for b in range(batches):
         runs.add(lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b))
-    repeated = stored(runs.repeated(min_docs), "lines-repeated")
+    with runs._in_order():
+        repeated = stored(runs.repeated(min_docs), "lines-repeated")
     drops = (
         lines.join(repeated, "key")
         .where(F.col("doc_id") != F.col("last"))

@@ -53,18 +53,53 @@ def test_lines_keep_other_columns(spark):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def batch_of(spark, n):
+    return spark.createDataFrame([(n * 10 + i, b"k%d" % (i % 3)) for i in range(n % 4)], "doc_id long, key binary")
+
+
 def test_runs_are_levelled(spark, tmp_path):
     runs = lines.LineRuns(spark, str(tmp_path), fan_in=2)
-    for batch in range(7):
-        rows = [(batch * 10 + i, b"k%d" % (i % 3)) for i in range(batch % 4)]
-        runs.add(spark.createDataFrame(rows, "doc_id long, key binary"))
+    for n in range(7):
+        runs.add(batch_of(spark, n))
     assert [len(level) for level in runs.levels] == [1, 1, 1]
     got = {bytes(k): last for k, last in runs.repeated(3).collect()}
     assert got == {b"k0": 60, b"k1": 61}
-    for level in runs.levels:
-        for path in level:
-            for part in spark.read.parquet(path).toPandas().groupby(lambda _: 0):
-                assert part[1]["key"].is_unique
+    assert len(list((tmp_path / "runs").iterdir())) == 3  # compacted runs are gone
+    for run in (run for level in runs.levels for run in level):
+        assert runs.open(run).toPandas()["key"].is_unique
+
+
+def test_runs_go_on_in_another_session(spark, tmp_path):
+    """The second session knows the runs of the first by their folder, and only new keys are fresh in its run."""
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        first = lines.LineRuns(spark, str(tmp_path), fan_in=4)
+        first.add(spark.createDataFrame([(1, b"a"), (1, b"b"), (2, b"a")], "doc_id long, key binary"))
+        first.add(spark.createDataFrame([(3, b"b"), (3, b"c")], "doc_id long, key binary"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    second = lines.LineRuns(spark.newSession(), str(tmp_path), fan_in=4)
+    assert second.buckets == 3 and second.levels == first.levels
+    second.add(second.spark.createDataFrame([(9, b"c"), (9, b"d"), (8, b"a"), (7, b"a")], "doc_id long, key binary"))
+    own = {bytes(r["key"]): (r["docs"], r["last"], r["fresh"]) for r in second.open(second.levels[0][-1]).collect()}
+    assert own == {b"a": (2, 8, False), b"c": (1, 9, False), b"d": (1, 9, True)}
+    assert {bytes(k): last for k, last in second.repeated(2).collect()} == {b"a": 8, b"b": 3, b"c": 9}
+    # A step that stopped before its manifest counts for nothing.
+    second.spark.range(1).write.parquet(f"{tmp_path}/runs/99-level-0")
+    assert lines.LineRuns(spark, str(tmp_path)).levels == second.levels
+
+
+def test_old_runs_are_merged_without_a_shuffle(spark, tmp_path):
+    runs = lines.LineRuns(spark, str(tmp_path), fan_in=9)
+    for n in (3, 7, 11):
+        runs.add(batch_of(spark, n))
+    with runs._in_order():
+        batch = spark.createDataFrame([(5, b"k1")], "doc_id long, key binary").groupBy("key").count()
+        joined = batch.join(runs.open(runs.levels[0][0]).where("fresh").hint("merge"), "key", "left")
+        merged = runs._merged(runs.levels[0][:2])
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (joined, merged)]
+    assert "SortMergeJoin" in plans[0] and plans[0].count("Exchange") == 1 and plans[0].count("Sort [") == 1
+    assert "SortMergeJoin" in plans[1] and "Exchange" not in plans[1] and "Sort [" not in plans[1]
 
 
 @pytest.fixture(scope="module")
