@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, toxicity, vptree
+from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, tokenfile, toxicity, vptree
 from aerolake.llm.common import ready
 from aerolake.llm.oracle import oracle_sql  # noqa: F401
 
@@ -55,6 +55,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op4_toxicity, op5_quality, op6_vp_trees, op7_line_dedup, op8_packing, op9_language_id, op10_byte_bpe)
+    named = (
+        op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op4_toxicity, op5_quality, op6_vp_trees, op7_line_dedup, op8_packing,
+        op9_language_id, op10_byte_bpe, op13_token_file,
+    )
     return {f.__name__: f for f in named}
