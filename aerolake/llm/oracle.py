@@ -64,5 +64,46 @@ FROM marked GROUP BY doc_id
 """
 
 
+_ZEROS = "[0, 0, 0, 0, 0, 0, 0, 0]"
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    code = f"hex(encode({text}))"
+    digit = lambda at: f"(instr('0123456789ABCDEF', substr({code}, {at}, 1)) - 1)"
+    octets = f"list_transform(range(1, length({code}) // 2 + 1), lambda i: CAST({digit('2 * i - 1')} * 16 + {digit('2 * i')} AS BIGINT))"
+    shifted = f"list_reduce(list_prepend(xor(c, o), CAST({_ZEROS} AS BIGINT[])), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, o: {shifted}), 4294967295)"
+
+
+OP11 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_crc32("concat(CAST(doc_id AS VARCHAR), ':', run)")} AS h FROM counted
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), places AS (SELECT word, n, unnest(range(length(word) + 1)) AS i FROM words),
+cut AS (
+  SELECT word, n, substr(word, 1, i) AS head, substr(word, i + 1) AS rest FROM places
+  UNION ALL SELECT word, n, substr(word, 1, i), substr(word, i + 2) FROM places WHERE i < length(word)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.head = b.head AND a.rest = b.rest AND a.word != b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS leads FROM forms UNION ALL SELECT f.word, form FROM followed f JOIN forms ON forms.word = leads WHERE form IS NOT NULL
+)
+SELECT forms.word, n, form, form_n, n_near, leads AS root FROM forms JOIN followed ON followed.word = forms.word
+WHERE leads IN (SELECT word FROM forms WHERE form IS NULL)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": OP2, "op3_embedding_dedup": OP3, "op6_vp_trees": OP6, "op7_line_dedup": OP7}
+    return {"op2_minhash_dedup": OP2, "op3_embedding_dedup": OP3, "op6_vp_trees": OP6, "op7_line_dedup": OP7, "op11_spelling": OP11}
