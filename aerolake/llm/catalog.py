@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, spelling, tokenfile, toxicity, vptree
+from aerolake.llm import bpe, caps, languages, lines, minhash, packing, quality, sharding, spelling, tokenfile, toxicity, tries, vptree
 from aerolake.llm.common import ready
 from aerolake.llm.oracle import oracle_sql  # noqa: F401
 
@@ -59,6 +59,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digest(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,6 @@ def op13_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sharding, op2_minhash_dedup, op3_embedding_dedup, op4_toxicity, op5_quality, op6_vp_trees, op7_line_dedup, op8_packing,
-        op9_language_id, op10_byte_bpe, op11_spelling, op13_token_file,
+        op9_language_id, op10_byte_bpe, op11_spelling, op12_prefix_trie, op13_token_file,
     )
     return {f.__name__: f for f in named}

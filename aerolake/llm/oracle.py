@@ -105,5 +105,42 @@ WHERE leads IN (SELECT word FROM forms WHERE form IS NULL)
 """
 
 
+OP12 = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS shared FROM own GROUP BY conv_id
+), moved AS (
+  SELECT i.conv_id, i.base, i.shared, least(i.shared, coalesce(b.n, 0)) AS kept FROM ids i LEFT JOIN ids b ON b.conv_id = i.base
+), turns AS (
+  SELECT m.conv_id, place + 1 AS depth, role, text FROM moved m JOIN own o ON o.conv_id = base AND place < shared
+  UNION ALL SELECT m.conv_id, kept + place - shared + 1, role, text FROM moved m JOIN own o ON o.conv_id = m.conv_id AND place >= shared
+), prefixes AS (
+  SELECT conv_id, depth, length(text) AS chars,
+    string_agg(md5(concat(length(role), ' ', role, text)), '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path
+  FROM turns UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM prefixes GROUP BY path, depth
+), named AS (
+  SELECT p.conv_id AS member, depth, n.conv_id AS node FROM prefixes p JOIN nodes n USING (path, depth)
+), linked AS (
+  SELECT n.conv_id, n.depth, n_convs, chars, u.node AS parent FROM nodes n LEFT JOIN named u ON u.member = n.conv_id AND u.depth = n.depth - 1
+), children AS (
+  SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY ALL
+), whole AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (conv_id, depth)
+), sums AS (
+  SELECT a.node AS conv_id, a.depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM whole u JOIN named a ON a.member = u.conv_id AND a.depth <= u.depth GROUP BY ALL
+), ends AS (
+  SELECT node AS conv_id, depth, sha256(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member)) AS ends
+  FROM (SELECT *, max(depth) OVER (PARTITION BY member) AS last FROM named) WHERE depth = last GROUP BY ALL
+)
+SELECT conv_id, depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM whole JOIN sums USING (conv_id, depth) LEFT JOIN ends USING (conv_id, depth)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": OP2, "op3_embedding_dedup": OP3, "op6_vp_trees": OP6, "op7_line_dedup": OP7, "op11_spelling": OP11}
+    return {"op2_minhash_dedup": OP2, "op3_embedding_dedup": OP3, "op6_vp_trees": OP6, "op7_line_dedup": OP7, "op11_spelling": OP11, "op12_prefix_trie": OP12}

@@ -19,10 +19,10 @@ def test_query_matches_sql(spark, name):
 def test_all_are_registered():
     names = set(entry_points.queries())
     assert set(catalog.queries()) | {"pipeline"} <= names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
 
 
-@pytest.mark.parametrize("name", ["op1_sharding", "op4_toxicity", "op5_quality", "op9_language_id", "op10_byte_bpe"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op4_toxicity", "op5_quality", "op9_language_id", "op10_byte_bpe", "op13_token_file"])
 def test_query_covers_all_documents(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     got = catalog.queries()[name](spark, SF_DIR).select("doc_id")

@@ -1,0 +1,147 @@
+"""The prefix trie against brute force."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from aerolake.llm import tries
+
+KINDS = "conv_id long, turn long, role string, text string"
+
+
+def rebuilt_brute(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in turns.items()}
+    out = {}
+    for c, t in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = int(c - np.fmod(c, 100))
+        out[c] = own.get(base, [])[:h] + t[h:]
+    return out
+
+
+def trie_brute(rows):
+    whole = rebuilt_brute(rows)
+    members = defaultdict(set)
+    for c, t in whole.items():
+        for d in range(len(t) + 1):
+            members[tuple(t[:d])].add(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, own in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += children[node] == 0
+            saved[node[:d]] += (len(own) - 1) * len(node[-1][1]) if node else 0
+    out = []
+    for node, own in members.items():
+        ends = ",".join(str(c) for c in sorted(own) if len(whole[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(own), len(node), parent, len(own), children[node], leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out)
+
+
+def found(spark, rows, small, parts=3):
+    turns = spark.createDataFrame(rows, KINDS).withColumn("Depth", F.lit("x")).repartition(parts)
+    out = tries.prefix_trie(turns, small)
+    assert out.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted(map(tuple, out.collect()))
+
+
+def conversations(seed, n=150, turns=9):
+    rnd = random.Random(seed)
+    rows = []
+    for c in rnd.sample(range(-150, 400), n):
+        for k in range(rnd.randint(1, turns)):
+            rows.append((c, k * 2 if rnd.random() < 0.9 else None, rnd.choice(["user", "assistant"]), rnd.choice(["a", "bb", "ccc é"])))
+    return rows
+
+
+@pytest.mark.parametrize("small", [4, 40, 16_384])
+def test_trie(spark, small):
+    rows = [r for r in dict.fromkeys(conversations(small)) if r[1] is not None]
+    rows = [(c, t, *x) for (c, t), x in {(r[0], r[1]): r[2:] for r in rows}.items()]
+    rows += [(None, 1, "user", "nobody"), (900, 1, None, None), (901, None, "user", "first"), (901, 0, "user", "second"), (907, 3, "", "")]
+    assert found(spark, rows, small) == trie_brute(rows)
+
+
+def test_a_long_path_and_a_star(spark):
+    """A conversation of thousands of turns and one turn with hundreds of answers."""
+    rows = [(100, k, "user", f"{k}") for k in range(9000)] + [(150, k, "user", f"{k}" if k < 7000 else f"x{k}") for k in range(8000)]
+    rows += [(1000 + i, k, "user", "same" if k < 6 else f"{i}") for i in range(300) for k in range(7)] + [(2000 + i, k, "u", "copy") for i in range(300) for k in range(8)]
+    assert found(spark, rows, 500, 5) == trie_path_brute(rows)
+
+
+def trie_path_brute(rows):
+    """As trie_brute, for paths too long to name nodes by their turns."""
+    whole = rebuilt_brute(rows)
+    members, parent, text = defaultdict(list), {}, {0: ""}
+    names = {(): 0}
+    at = {}
+    for c in sorted(whole):
+        here = 0
+        members[0].append(c)
+        for t in whole[c]:
+            here_next = names.setdefault((here, t), len(names))
+            parent[here_next], text[here_next] = here, t[1]
+            here = here_next
+            members[here].append(c)
+        at[c] = here
+    count = len(names)
+    depth = [0] * count
+    children, leaves, saved, ends = [0] * count, [0] * count, [0] * count, defaultdict(list)
+    for v in range(1, count):
+        depth[v] = depth[parent[v]] + 1
+        children[parent[v]] += 1
+    for c, v in at.items():
+        ends[v].append(c)
+    for v in range(count - 1, -1, -1):
+        leaves[v] += children[v] == 0
+        saved[v] += (len(members[v]) - 1) * len(text[v]) if v else 0
+        if v:
+            leaves[parent[v]] += leaves[v]
+            saved[parent[v]] += saved[v]
+    return sorted(
+        (min(members[v]), depth[v], min(members[parent[v]]) if v else None, len(members[v]), children[v], leaves[v], saved[v], hashlib.sha256(",".join(map(str, sorted(ends[v]))).encode()).hexdigest())
+        for v in range(count)
+    )
+
+
+def test_repeated_rows_are_turns(spark):
+    rows = [(7, 1, "user", "again")] * 9 + [(8, 1, "user", "again")] * 9 + [(7, None, "user", "early")]
+    assert found(spark, rows, 2) == trie_brute(rows)
+
+
+def test_no_conversations(spark):
+    assert found(spark, [], 4) == [] == found(spark, [(None, 1, "user", "x")], 4)
+
+
+def test_running_sums_of_a_large_group(spark):
+    rows = spark.range(5000).select((F.col("id") % 10 >= 3).cast("long").alias("g"), F.col("id").alias("o"), (F.lit(1 << 62) + F.col("id")).alias("v"))
+    got = tries.running(rows.repartition(7), "g", ["o"], ["v"]).orderBy("g", "o").toPandas()
+    with np.errstate(over="ignore"):
+        want = got.groupby("g")["v"].transform(lambda v: np.cumsum(v.to_numpy().view(np.uint64)).view(np.int64))
+    assert (got["sum_v"] == want).all() and len(got) == 5000
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "binary"])
+def test_centroids_within_a_task(shape):
+    rng = np.random.default_rng(6)
+    n = 700
+    up = {"path": lambda i: i - 1, "star": lambda i: 0, "random": lambda i: int(rng.integers(0, i)), "binary": lambda i: (i - 1) // 2}[shape]
+    parents = np.array([0] + [up(i) for i in range(1, n)])
+    weights = rng.integers(0, 100, (n, 2))
+    want = weights.copy()
+    for i in range(n - 1, 0, -1):
+        want[parents[i]] += want[i]
+    assert (tries._finished(parents, weights) == want).all()
