@@ -35,13 +35,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; one row of an id. Rows without an id stay."""
-    found = minhash.near_duplicates(docs)
-    ids = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(ids, "doc_id", "left_semi")
-    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of each group of near-duplicates, that with the smallest id (of equal ids any). Rows without an id stay.
+
+    Rows that share an id are documents of their own: unless their texts are near-duplicates, all of them stay.
+    """
+    own = docs.where(F.col("doc_id").isNotNull())
+    if own.groupBy("doc_id").count().where("count > 1").isEmpty():
+        ids = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+        kept = own.join(ids, "doc_id", "left_semi").select(docs.columns)
+    else:
+        row = "__row"
+        while row in docs.columns:
+            row += "_"
+        rows = stored(own.withColumn(row, F.monotonically_increasing_id()), "numbered")  # written, so numbers stay
+        found = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+        first = found.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("first"))
+        kept = rows.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
