@@ -1,5 +1,7 @@
 """Registered queries: SQL where there is some, whole tables, and the pipeline's stages."""
 
+import random
+
 import pytest
 from oracle_check import compare, connect
 from test_llm_text import packed_right
@@ -62,3 +64,41 @@ def test_pipeline_of_odd_rows(spark):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in docs.collect()) == [(0, text), (1, text)]
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def near_brute(rows, words=5, share=80):
+    """Groups of rows by plain sets of shingles."""
+
+    def shingles(text):
+        own = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+        return {tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1))} if own else set()
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= share * len(a | b) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return group
+
+
+def test_distinct_texts_of_one_id_all_stay(spark):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    base = [[word() for _ in range(80)] for _ in range(12)]
+    rows = []
+    for i, own in enumerate(base):
+        near = [*own[:40], word(), *own[41:]]
+        rows += [(i // 3, " ".join(own)), (i // 3, " ".join(own)), (20 + i, " ".join(near)), (30 + i % 4, " ".join(rnd.choices(own, k=60)))]
+    rows += [(50, "x " * 400_000 + "end"), (50, "x " * 400_001 + "end"), (50, "short"), (50, ""), (51, None)]
+    docs = spark.createDataFrame([(*r, "de", "s", 1, 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, __row int").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    groups = near_brute(rows)
+    want = {min((i, t or "") if t else (i, "") for (i, t), h in zip(rows, groups) if h == g)[0] for g in set(groups)}
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(got) == len(set(groups))
+    by_text = {t: g for (_, t), g in zip(rows, groups)}
+    assert sorted(by_text[t] for _, t in got) == sorted({by_text[t] for _, t in rows})
+    assert {i for i, _ in got} == want
