@@ -115,6 +115,30 @@ def metric_rollup(metrics: DataFrame, period_seconds: int, statistic: str) -> Da
     )
 
 
+#: Seconds of a partial rollup; the period of every alarm is a multiple of it.
+PARTIAL_SECONDS = 60
+
+
+def metric_partials(metrics: DataFrame) -> DataFrame:
+    """(metric, source, minute, total, most) of each minute with rows; batch or stream.
+
+    Sums and maxima of longer periods follow from them, so all alarms read the metrics once.
+    """
+    window = F.window("ts", f"{PARTIAL_SECONDS} seconds").alias("_window")
+    return metrics.groupBy("metric", "source", window).agg(F.sum("value").alias("total"), F.max("value").alias("most")).select(
+        "metric", "source", F.col("_window.start").alias("minute"), "total", "most"
+    )
+
+
+def rollup_of(partials: DataFrame, period_seconds: int, statistic: str) -> DataFrame:
+    """The rollup of longer periods, the same as ``metric_rollup`` gives of the metrics."""
+    if period_seconds % PARTIAL_SECONDS:
+        raise ValueError(f"{period_seconds} seconds are not whole minutes")
+    value = {"Sum": F.sum("total"), "Max": F.max("most")}[statistic]
+    start = F.timestamp_seconds(F.floor(F.unix_seconds("minute") / period_seconds) * period_seconds)
+    return partials.groupBy("metric", "source", start.alias("period_start")).agg(value.alias("value"))
+
+
 def watched_range(rollup: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
     """First and last period to judge per metric and source, by default those with data."""
     return rollup.groupBy("metric", "source").agg(
@@ -189,30 +213,63 @@ def firing(alarms: DataFrame) -> DataFrame:
     return alarms.where("in_alarm").drop("in_alarm")
 
 
+def _by_spec(specs: list[AlarmSpec], field: str) -> Column:
+    """A field of the alarm that the column ``_k`` numbers."""
+    return F.get(F.array(*[F.lit(getattr(spec, field)) for spec in specs]), F.col("_k"))
+
+
+def _each_spec(rows: DataFrame, specs: list[AlarmSpec]) -> DataFrame:
+    """Each row once for every alarm on its metric."""
+    numbers = F.create_map(*[x for metric in sorted({s.metric for s in specs}) for x in (
+        F.lit(metric), F.array(*[F.lit(k) for k, s in enumerate(specs) if s.metric == metric])
+    )])
+    return rows.withColumn("_k", F.explode(F.try_element_at(numbers, F.col("metric"))))
+
+
 def alarm_table(
-    metrics: DataFrame, sources: DataFrame, first: Column, last: Column, specs: Iterable[AlarmSpec] = tuple(ALARMS.values())
+    partials: DataFrame, sources: DataFrame, first: Column, last: Column, specs: Iterable[AlarmSpec] = tuple(ALARMS.values())
 ) -> DataFrame:
     """A row for each alarm, source and period that fires, with its message.
 
-    ``metrics`` has (metric, source, ts, value), ``sources`` the (metric, source) pairs to watch, with
+    ``partials`` are those of ``metric_partials``, ``sources`` the (metric, source) pairs to watch, with
     rows or without. All periods from that of ``first`` to that of ``last`` are judged, so silence
-    after a source's last row fires as well.
+    after a source's last row fires as well. All alarms are judged together, from one read of the partials: each
+    minute counts for the periods of all alarms on its metric.
     """
-    tables = []
-    for spec in specs:
-        own = F.col("metric") == spec.metric
+    specs = list(specs)
+    seconds = _by_spec(specs, "period_seconds").cast("long")
+    key = ["_k", "metric", "source", "_second"]
 
-        def period_of(ts: Column, seconds: int = spec.period_seconds) -> Column:
-            return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / seconds) * seconds)
+    def period(ts: Column) -> Column:
+        return F.floor(F.unix_seconds(ts) / seconds) * seconds
 
-        rollup = metric_rollup(metrics.where(own), spec.period_seconds, spec.statistic)
-        watched = sources.where(own).select("metric", "source", period_of(first).alias("first_period"), period_of(last).alias("last_period"))
-        fired = format_alert(firing(evaluate_alarm(rollup, spec, watched)), spec)
-        tables.append(fired.select(F.lit(spec.name).alias("alarm"), F.lit(spec.severity).cast("string").alias("severity"), "*"))
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+    rolled = _each_spec(partials, specs).select(*key[:3], period(F.col("minute")).alias("_second"), "total", "most", F.lit(False).alias("_judged"))
+    runs = _each_spec(sources.select("metric", "source", first.alias("_first"), last.alias("_last")), specs).select(
+        *key[:3], period(F.col("_last")).alias("_end"), F.explode(F.sequence(period(F.col("_first")), period(F.col("_last")), seconds * _RUN)).alias("_run")
+    )
+    spine = runs.select(
+        *key[:3], F.explode(F.sequence("_run", F.least(F.col("_run") + seconds * (_RUN - 1), F.col("_end")), seconds)).alias("_second"),
+        F.lit(None).cast("double").alias("total"), F.lit(None).cast("double").alias("most"), F.lit(True).alias("_judged"),
+    )
+    periods = rolled.unionByName(spine).groupBy(*key).agg(F.sum("total").alias("total"), F.max("most").alias("most"), F.bool_or("_judged").alias("_judged"))
+    value = F.when(_by_spec(specs, "statistic") == "Sum", F.coalesce("total", F.lit(0.0))).otherwise(F.col("most"))
+    limit, above = _by_spec(specs, "threshold").cast("double"), _by_spec(specs, "comparison") == ">"
+    breach = F.coalesce(F.when(above, F.col("value") > limit).otherwise(F.col("value") < limit), F.lit(False))
+    judged = periods.where("_judged").withColumn("value", value).withColumn("_breach", breach)
+    # A verdict counts for its own period and those after it; periods without a breach need no other to know of them.
+    ahead = F.when(F.col("_breach"), F.sequence(F.lit(0), _by_spec(specs, "periods") - 1)).otherwise(F.array(F.lit(0)))
+    votes = judged.withColumn("_ahead", F.explode(ahead))
+    own = F.col("_ahead") == 0
+    fired = (
+        votes.withColumn("_second", F.col("_second") + F.col("_ahead") * seconds)
+        .groupBy(*key)
+        .agg(F.max(F.when(own, F.col("value"))).alias("value"), F.count_if("_breach").alias("breaches"), F.bool_or(own).alias("_judged"))
+        .where(F.col("_judged") & (F.col("breaches") >= _by_spec(specs, "breaching")))
+    )
+    texts = {"alarm": "name", "severity": "severity", "_description": "description", "_response": "response", "_threshold": "threshold"}
+    named = fired.withColumns({column: _by_spec(specs, field) for column, field in texts.items()}).withColumn("period_start", F.timestamp_seconds("_second"))
+    message = _alert_text(F.col("alarm"), F.col("_description"), F.col("_threshold").cast("double"), F.coalesce("_response", F.lit("-")))
+    return named.select("alarm", "severity", "metric", "source", "period_start", "value", "breaches", message.alias("message"))
 
 
 def _number_text(value: Column) -> Column:
@@ -221,12 +278,13 @@ def _number_text(value: Column) -> Column:
     return F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
 
 
+def _alert_text(name: Column, description: Column, threshold: Column, response: Column) -> Column:
+    time = F.concat(ts_to_iso(F.col("period_start")), F.lit("Z"))
+    value = F.coalesce(_number_text(F.col("value")), F.lit("-"))
+    return F.format_string(ALERT_TEXT, name, time, description, F.col("metric"), value, _number_text(threshold), F.col("source"), response)
+
+
 def format_alert(alarms: DataFrame, spec: AlarmSpec) -> DataFrame:
     """Adds ``message``, the alert text of a firing period."""
-    time = F.concat(ts_to_iso(F.col("period_start")), F.lit("Z"))
-    fields = [
-        F.lit(spec.name), time, F.lit(spec.description), F.col("metric"),
-        F.coalesce(_number_text(F.col("value")), F.lit("-")), _number_text(F.lit(float(spec.threshold))),
-        F.col("source"), F.lit(spec.response or "-"),
-    ]
-    return alarms.withColumn("message", F.format_string(ALERT_TEXT, *fields))
+    text = _alert_text(F.lit(spec.name), F.lit(spec.description), F.lit(float(spec.threshold)), F.lit(spec.response or "-"))
+    return alarms.withColumn("message", text)

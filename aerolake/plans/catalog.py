@@ -22,13 +22,13 @@ from aerolake.session import use_utc, work_dir
 from aerolake.sources.countries import read_countries
 from aerolake.sources.envelopes import decoded_text
 from aerolake.sources.snapshots import explode_states
-from aerolake.streaming import jobs, sinks
+from aerolake.streaming import alarming, jobs, sinks
 
 PROCESSED_AT = "2024-02-01 00:00:00"
 CHUNK = 10
 GAP_SECONDS = 6 * 3600
 PART_POINTS = 5
-START, END = 1_704_067_200, 1_706_745_599
+START, MIDDLE, END = 1_704_067_200, 1_705_406_400, 1_706_745_599
 HOURS = 48
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -414,28 +414,56 @@ def alert_messages(spark, sf_dir):
     return alarms.format_alert(_idle(spark, sf_dir), alarms.ALARMS["stream-idle"]).select("message")
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    path = work_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _metrics(rows: DataFrame) -> DataFrame:
+    """Records, lag and errors of the events, from one read; one source of records falls silent in the middle of the month."""
+
+    def of(metric: str, source: Column, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), source.alias("source"), value.alias("value"))
+
+    one, kind = F.lit(1.0), F.col("event_type")
+    given = F.array(
+        of(alarms.INCOMING, F.lit("events"), one),
+        of(alarms.LAG, kind, F.col("value") * 1000),
+        F.when(kind == "error", of(alarms.ERRORS, F.lit("events"), one)),
+        F.when(F.unix_seconds(F.col("ts").cast("timestamp")) < MIDDLE, of(alarms.INCOMING, F.lit("first-half"), one)),
+    )
+    each = rows.select(F.col("ts").cast("timestamp").alias("ts"), F.explode(given).alias("m"))
+    return each.where("m IS NOT NULL").select("m.metric", "m.source", "ts", "m.value")
+
+
+def _refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and requests that the receiver refused, from one read of the ledger."""
+    failed = F.col("failed").cast("double")
+    each = _ledger(_grouped(spark, sf_dir)).where("failed > 0").select(
+        F.timestamp_seconds(F.lit(START) + F.col("snapshot_id").cast("bigint") * 60).alias("ts"),
+        F.explode(F.array(
+            F.struct(F.lit(alarms.THROTTLED).alias("metric"), (failed * 600).alias("value")),
+            F.struct(F.lit(alarms.THROTTLED_REQUESTS).alias("metric"), F.lit(200.0).alias("value")),
+        )).alias("m"),
+    )
+    return each.select("m.metric", F.lit("ledger").alias("source"), "ts", "m.value")
+
+
+def _never_sends(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.lit(alarms.INCOMING).alias("metric"), F.lit("silent").alias("source"))
+
+
 @_query
 def alarm_table(spark, sf_dir):
     """All alarms over a month, and as far beyond as metrics go: records, lag, errors and refused deliveries, and a source that sends nothing."""
-    rows = feed.events(spark, sf_dir)
-    at = F.col("ts").cast("timestamp")
-    ledger = _ledger(_grouped(spark, sf_dir))
-    sent_at = F.timestamp_seconds(F.lit(START) + F.col("snapshot_id").cast("bigint") * 60)
-    lag = rows.select(F.lit(alarms.LAG).alias("metric"), F.col("event_type").alias("source"), at.alias("ts"), (F.col("value") * 1000).alias("value"))
-    metrics = (
-        _incoming(rows).unionByName(lag)
-        .unionByName(alarms.error_metric(rows.where("event_type = 'error'"), at, "events"))
-        .unionByName(alarms.throttled_metric(ledger, sent_at, "ledger").withColumn("value", F.col("value") * 600))
-        .unionByName(alarms.throttled_requests_metric(ledger, sent_at, "ledger").withColumn("value", F.col("value") * 200))
-    )
-    watched = metrics.select("metric", "source").distinct().unionByName(
-        rows.select(F.lit(alarms.INCOMING).alias("metric"), F.lit("silent").alias("source")).distinct()
-    )
-    span = metrics.agg(
-        F.least(F.timestamp_seconds(F.lit(START)), F.min("ts")).alias("first"),
-        F.greatest(F.timestamp_seconds(F.lit(END)), F.max("ts")).alias("last"),
+    partials = _stored(alarms.metric_partials(_metrics(feed.events(spark, sf_dir)).unionByName(_refused(spark, sf_dir))), "partials")
+    watched = partials.select("metric", "source").distinct().unionByName(_never_sends(spark))
+    span = partials.agg(
+        F.least(F.timestamp_seconds(F.lit(START)), F.min("minute")).alias("first"),
+        F.greatest(F.timestamp_seconds(F.lit(END)), F.max("minute")).alias("last"),
     )
-    fired = alarms.alarm_table(metrics, watched.crossJoin(span), F.col("first"), F.col("last"))
+    fired = alarms.alarm_table(partials, watched.crossJoin(span), F.col("first"), F.col("last"))
     return _rollup_view(fired.drop("message"))
 
 
@@ -540,6 +568,31 @@ def stream_raw(spark, sf_dir):
     return spark.read.text(paths.raw).groupBy(time.alias("time")).agg(F.count("*").alias("records"))
 
 
+def _landed_by_time(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The events as a stream of four files, one a batch, the week of an event deciding its file."""
+    rows = feed.events(spark, sf_dir)
+    week = F.least(F.lit(3), F.greatest(F.lit(0), F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - START) / (8 * 86400))))
+    for number in range(4):
+        rows.where(week == number).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    return spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+
+
+@_query
+def stream_alarms(spark, sf_dir):
+    """Beginnings and ends of alarms, over four batches, with a source that falls silent and one that never sends."""
+    root = work_dir(spark, "alarms")
+    metrics = _metrics(_landed_by_time(spark, sf_dir, root))
+    settings = jobs.StreamSettings(f"{root}/closing", available_now=True)
+    alarming.run_partials_stream(metrics, f"{root}/minutes", settings).awaitTermination()
+    names = [(alarms.INCOMING, "events"), (alarms.INCOMING, "first-half"), (alarms.INCOMING, "silent"), (alarms.ERRORS, "events")]
+    names += [(alarms.LAG, kind) for kind in ("click", "view", "purchase", "error", "signup")]
+    watched = spark.createDataFrame(names, "metric STRING, source STRING")
+    first = F.timestamp_seconds(F.lit(START))
+    alarming.run_alarm_stream(spark, f"{root}/minutes", watched, first, f"{root}/changes", _settings(root)).awaitTermination()
+    changes = spark.read.schema(alarming.CHANGES_SCHEMA).parquet(f"{root}/changes")
+    return _rollup_view(changes)
+
+
 @_query
 def stream_rollup(spark, sf_dir):
     root = work_dir(spark, "rollup")

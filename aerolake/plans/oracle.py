@@ -109,6 +109,27 @@ def _alarm(spec: AlarmSpec) -> str:
     WHERE breaches >= {spec.breaching}"""
 
 
+def _changes(spec: AlarmSpec) -> str:
+    """Periods up to the last closed minute in which the alarm begins or ends."""
+    value = "coalesce(v, 0)" if spec.statistic == "Sum" else "v"
+    return f"""
+    SELECT '{spec.name}' AS alarm, '{spec.metric}' AS metric, source, period_start, {value} AS value, breaches, in_alarm
+    FROM (
+      SELECT *, in_alarm != lag(in_alarm, 1, false) OVER (PARTITION BY source ORDER BY period_start) AS changed
+      FROM (
+        SELECT *, breaches >= {spec.breaching} AS in_alarm
+        FROM (
+          SELECT *, CAST(sum(CASE WHEN {value} {spec.comparison} {spec.threshold} THEN 1 ELSE 0 END) OVER (
+                 PARTITION BY source ORDER BY period_start ROWS BETWEEN {spec.periods - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS breaches
+          FROM (SELECT source, unnest(generate_series(1704067200 // {spec.period_seconds} * {spec.period_seconds}, 1706745599, {spec.period_seconds})) AS period_start
+                FROM watched WHERE metric = '{spec.metric}' AND source != 'ledger') s
+          LEFT JOIN (SELECT source, seconds // {spec.period_seconds} * {spec.period_seconds} AS period_start, {spec.statistic}(value) AS v
+                     FROM metrics WHERE metric = '{spec.metric}' GROUP BY ALL) r USING (source, period_start))))
+    WHERE changed AND period_start + {spec.period_seconds} <= (
+      SELECT max(seconds // 60 * 60 + 60) FROM metrics
+      WHERE source != 'ledger' AND seconds // 60 * 60 + 60 <= (SELECT floor(epoch(max(ts))) - 3600 FROM events))"""
+
+
 _METRICS = """
 ledger AS (
   SELECT 1704067200 + snapshot_id * 60 AS seconds, count(*) FILTER (last_contact % 31 = 0) AS failed
@@ -116,6 +137,7 @@ ledger AS (
 ),
 metrics AS (
   SELECT 'incoming_records' AS metric, 'events' AS source, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, 1.0::DOUBLE AS value FROM events
+  UNION ALL SELECT 'incoming_records', 'first-half', CAST(floor(epoch(ts)) AS BIGINT), 1.0::DOUBLE FROM events WHERE floor(epoch(ts)) < 1705406400
   UNION ALL SELECT 'iterator_age_ms', event_type, CAST(floor(epoch(ts)) AS BIGINT), value * 1000 FROM events
   UNION ALL SELECT 'errors', 'events', CAST(floor(epoch(ts)) AS BIGINT), 1.0::DOUBLE FROM events WHERE event_type = 'error'
   UNION ALL SELECT 'throttled_records', 'ledger', seconds, CAST(failed * 600 AS DOUBLE) FROM ledger
@@ -249,6 +271,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, {_BODY} AS outcome FROM feed
             UNION ALL SELECT event_id, 'sent' FROM feed WHERE {_BODY} = 'good'""",
         "alarm_table": f", {_METRICS} {' UNION ALL '.join(_alarm(spec) for spec in ALARMS.values())}",
+        "stream_alarms": f", {_METRICS} {' UNION ALL '.join(_changes(spec) for spec in ALARMS.values())}",
         "country_file": """
             SELECT n_nationkey AS id, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, r_name AS continent,
                    CAST(NULL AS VARCHAR) AS wikipedia_link, n_name || ', ' || r_name AS keywords

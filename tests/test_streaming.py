@@ -18,7 +18,7 @@ from aerolake.plans.pipelines import ingest
 from aerolake.schemas import ENVELOPE_SCHEMA
 from aerolake.session import work_dir
 from aerolake.sources.snapshots import explode_states, read_snapshots, read_snapshots_stream
-from aerolake.streaming import jobs, sinks
+from aerolake.streaming import alarming, jobs, sinks
 
 START = 1_704_067_200
 
@@ -258,3 +258,42 @@ def test_work_dir(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     assert first != second and first.startswith(base)
+
+
+def test_alarms_fire_while_the_stream_runs(spark, tmp_path):
+    """The job stops and goes on between batches; what it says is what the alarm table changes from minute to minute."""
+    specs = [
+        alarms.AlarmSpec("idle", "records", "Sum", 120, 2, 2, "<", 1),
+        alarms.AlarmSpec("burst", "records", "Sum", 60, 2, 3, ">", 2),
+        alarms.AlarmSpec("lag", "age", "Max", 60, 1, 1, ">", 5.0),
+    ]
+    rows = [("records", "a", m, 1.0) for m in [0, 1, 1, 1, 2, 2, 2, 9, 9, 9, 10, 10, 10, 11, 30, 31, 50]]
+    rows += [("records", "b", m, 1.0) for m in range(0, 12)] + [("age", "a", m, float(m % 9)) for m in range(3, 55)]
+    minute = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m, seconds=m % 50)
+    watched = spark.createDataFrame([("records", "a"), ("records", "b"), ("records", "never"), ("age", "a"), ("age", "never")], "metric string, source string")
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    schema = "metric string, source string, ts timestamp, value double"
+    for low, high in ((0, 20), (20, 40), (40, 60)):
+        part = [(a, b, minute(m), v) for a, b, m, v in rows if low <= m < high]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "metrics"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "metrics"))
+        run(alarming.run_partials_stream(stream, str(tmp_path / "minutes"), settings(tmp_path, "minutes"), "2 minutes"))
+        run(alarming.run_alarm_stream(spark, str(tmp_path / "minutes"), watched, first, str(tmp_path / "changes"), settings(tmp_path, "alarms"), specs))
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "changes")).select("alarm", "source", F.unix_seconds("period_start"), "in_alarm").collect())
+
+    closed = max(60 * m + 60 for _, _, m, _ in rows if 60 * m + 60 <= 54 * 60 + 54 % 50 - 120)
+    want = []
+    for spec in specs:
+        for source in ("a", "b", "never"):
+            if spec.metric == "age" and source == "b":
+                continue
+            verdicts, before = [], False
+            for start in range(0, closed - spec.period_seconds + 1, spec.period_seconds):
+                own = [v for metric, s, m, v in rows if (metric, s) == (spec.metric, source) and start <= 60 * m < start + spec.period_seconds]
+                value = sum(own) if spec.statistic == "Sum" else max(own, default=None)
+                verdicts.append(value is not None and (value > spec.threshold if spec.comparison == ">" else value < spec.threshold))
+                state = sum(verdicts[-spec.periods :]) >= spec.breaching
+                if state != before:
+                    want.append((spec.name, source, START + start, state))
+                before = state
+    assert got == sorted(want) and {a for a, s, _, _ in got if s == "never"} == {"idle"}
