@@ -272,7 +272,7 @@ def state_json(spark, sf_dir):
 
 @_query
 def latest_state(spark, sf_dir):
-    newest = latest.latest_state(_states(spark, sf_dir))
+    newest = latest.latest_state(_stored(_states(spark, sf_dir), "states"))
     return newest.select(
         "key", _event_id(), "callsign", _seconds("last_contact", "last_contact"),
         "longitude", "latitude", "squawk",

@@ -35,3 +35,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/aerolake/{name}-{uuid.uuid4().hex}"
+
+
+def stored_at(spark: SparkSession, path: str):
+    """(file system, path) of a folder, on whatever storage it lies."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no such folder."""
+    files, folder = stored_at(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    files, folder = stored_at(spark, path)
+    files.delete(folder, True)

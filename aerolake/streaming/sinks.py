@@ -8,8 +8,10 @@ batch has the same.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from aerolake.operators.enrich import FAILED, OK, filter_country
 from aerolake.operators.latest import latest_state
 from aerolake.operators.publish import CHUNK_SIZE, delivery_ledger, number_in_order, published_records
 from aerolake.schemas import STATE_SCHEMA
+from aerolake.session import deleted, listed, stored_at
 from aerolake.sources.snapshots import explode_states, quarantined_bodies
 
 # Flush sizes of the raw sink, from 128 MB and about 1 KB per record.
@@ -26,8 +29,9 @@ RAW_FLUSH_BYTES = 128 * 1024 * 1024
 RECORD_BYTES = 1024
 RAW_RECORDS_PER_FILE = RAW_FLUSH_BYTES // RECORD_BYTES
 
-# Buckets of the keyed table. A table keeps the number it began with.
+# Buckets that a keyed table begins with, and for how many seconds a replaced version can still be read.
 BUCKETS = 16
+GRACE_SECONDS = 3600
 
 
 def _folder(path: str, batch_id: int) -> str:
@@ -100,73 +104,91 @@ def _latest_schema() -> T.StructType:
         T.StructField("snapshot_id", T.StringType()),
         T.StructField("pos", T.IntegerType()),
         *STATE_SCHEMA,
-        T.StructField("version", T.LongType()),
+        T.StructField("version", T.StringType()),
         T.StructField("bucket", T.LongType()),
     ])
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    """All versions of all buckets; None before the first batch."""
-    try:
-        return spark.read.schema(_latest_schema()).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose manifest is complete, ascending."""
+    return sorted(int(name) for name in listed(spark, f"{path}/manifest") if "_SUCCESS" in listed(spark, f"{path}/manifest/{name}"))
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, str | None]:
+    """The folder of each bucket, none where a bucket has no rows yet."""
+    rows = spark.read.schema("bucket INT, version STRING").json(f"{path}/manifest/{version}").collect()
+    return {r["bucket"]: r["version"] for r in rows}
 
 
-def _newest(versions: DataFrame, before: int | None = None) -> tuple[DataFrame, dict[int, int]]:
-    """The rows of the newest version of each bucket, below ``before``; and those versions."""
-    if before is not None:
-        versions = versions.where(F.col("version") < before)
-    found = dict(map(tuple, versions.groupBy("bucket").agg(F.max("version")).collect()))
-    wanted = F.lit(False)
-    for bucket, version in found.items():
-        wanted = wanted | ((F.col("version") == version) & (F.col("bucket") == bucket))
-    return versions.where(wanted), found
+def _rows_of(spark: SparkSession, path: str, buckets: dict[int, str | None]) -> DataFrame:
+    """The rows of these buckets in these versions, by their folders alone."""
+    folders = [f"{path}/version={v}/bucket={b}" for b, v in buckets.items() if v]
+    if not folders:
+        return spark.createDataFrame([], _latest_schema())
+    return spark.read.schema(_latest_schema()).option("basePath", path).parquet(*folders)
 
 
-def upsert_latest(states: DataFrame, batch_id: int, path: str, buckets: int = BUCKETS) -> None:
+def upsert_latest(states: DataFrame, batch_id: int, path: str, buckets: int | None = None, grace_seconds: int = GRACE_SECONDS) -> None:
     """Merges the newest rows of a batch into the keyed table.
 
-    Keys lie in buckets by their hash. A batch writes the buckets that it touches as version
-    ``batch_id``, merged with their newest earlier version, and readers take the newest version of each
-    bucket. A repeated batch writes the same again, and batches may come late, since the newest
-    ``last_contact`` wins. Versions that no reader can want any more are deleted.
+    Keys lie in buckets by their hash. A batch writes the buckets that it touches to a new folder, merged
+    with what they held, then a manifest that names the folder of every bucket. Readers take the newest
+    manifest; what it names is deleted ``grace_seconds`` after a newer one replaced it at the earliest. A repeated batch starts from
+    the manifest before its own and replaces its own; numbers of batches must rise, their rows may come late, since the
+    newest ``last_contact`` wins. The manifest knows the number of buckets. Another number than that
+    makes the batch write the whole table anew, in so many buckets.
     """
-    spark = states.sparkSession
-    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
-    fresh = latest_state(states).withColumn("bucket", bucket)
-    versions = _versions(spark, path)
-    rows = fresh
-    if versions is not None:
+    spark, path = states.sparkSession, path.rstrip("/")
+    before = [v for v in _manifests(spark, path) if v < batch_id]
+    held = _manifest(spark, path, before[-1]) if before else {}
+    count = buckets or len(held) or BUCKETS
+    bucket = F.pmod(F.xxhash64("key"), F.lit(count))
+    states = states.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fresh = latest_state(states).withColumn("bucket", bucket).persist(StorageLevel.MEMORY_AND_DISK)
         # As many scalars as there are buckets go through the driver.
-        touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
-        kept, _ = _newest(versions.where(F.col("bucket").isin(touched)), batch_id)
-        rows = fresh.unionByName(kept.drop("version"))
-    merged = latest_state(rows.drop("key", "bucket")).withColumn("bucket", bucket)
-    placed = merged.repartition(buckets, "bucket")
-    placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/version={batch_id}")
-    _forget(spark, path, batch_id)
+        touched = {r["bucket"] for r in fresh.select("bucket").distinct().collect()}
+        if held and len(held) != count:
+            touched, merging = set(range(count)), held
+        else:
+            merging = {b: v for b, v in held.items() if b in touched}
+        rows = fresh.unionByName(_rows_of(spark, path, merging).drop("version").withColumn("bucket", bucket))
+        merged = latest_state(rows.drop("key", "bucket")).withColumn("bucket", bucket)
+        version = f"{batch_id}-{uuid.uuid4().hex[:12]}"
+        merged.repartition(count, "bucket").write.partitionBy("bucket").parquet(f"{path}/version={version}")
+        fresh.unpersist()
+    finally:
+        states.unpersist()
+    written = {int(name.split("=")[1]) for name in listed(spark, f"{path}/version={version}") if name.startswith("bucket=")}
+    now = {b: version if b in written else held.get(b) if len(held) == count else None for b in range(count)}
+    spark.createDataFrame(list(now.items()), "bucket INT, version STRING").coalesce(1).write.mode("overwrite").json(f"{path}/manifest/{batch_id}")
+    _forget(spark, path, batch_id, grace_seconds)
 
 
-def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Deletes versions all of whose buckets have been replaced by batches before ``batch_id``.
+def _forget(spark: SparkSession, path: str, batch_id: int, grace_seconds: int) -> None:
+    """Deletes manifests that were replaced more than the grace time ago, and folders as old that no manifest left names.
 
-    The newest version below ``batch_id`` of each bucket stays, so that this batch can be repeated.
+    The manifest before ``batch_id`` stays, too, so that this batch can be repeated.
     """
-    versions = _versions(spark, path)
-    all_versions = {r["version"] for r in versions.select("version").distinct().collect()}
-    wanted = {*_newest(versions)[1].values(), *_newest(versions, batch_id)[1].values(), batch_id}
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for version in all_versions - wanted:
-        folder = hadoop(f"{path.rstrip('/')}/version={version}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    versions, limit = _manifests(spark, path), time.time() - grace_seconds
+    files, _ = stored_at(spark, path)
+
+    def written(name: str) -> float:
+        return files.getFileStatus(stored_at(spark, f"{path}/{name}/_SUCCESS")[1]).getModificationTime() / 1000
+
+    previous = max((v for v in versions if v < batch_id), default=None)
+    replaced = [v for v, after in zip(versions, versions[1:]) if v != previous and written(f"manifest/{after}") < limit]
+    for version in replaced:
+        deleted(spark, f"{path}/manifest/{version}")
+    wanted = {folder for v in versions if v not in replaced for folder in _manifest(spark, path, v).values()}
+    for name in listed(spark, path):
+        if name.startswith("version=") and name.split("=")[1] not in wanted and "_SUCCESS" in listed(spark, f"{path}/{name}") and written(name) < limit:
+            deleted(spark, f"{path}/{name}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The keyed table: one row per key, one file or so per bucket."""
-    versions = _versions(spark, path)
-    if versions is None:
-        return spark.createDataFrame([], _latest_schema()).drop("version", "bucket")
-    return _newest(versions)[0].drop("version", "bucket")
+    """The keyed table: one row per key, as of the newest manifest. It can be read for the grace time, whatever batches follow."""
+    path = path.rstrip("/")
+    versions = _manifests(spark, path)
+    rows = _rows_of(spark, path, _manifest(spark, path, versions[-1])) if versions else spark.createDataFrame([], _latest_schema())
+    return rows.drop("version", "bucket")

@@ -144,9 +144,9 @@ def test_upsert_is_flat_and_takes_late_and_repeated_batches(spark, tmp_path):
     table, order, files = str(tmp_path / "table"), [5, 2, 9, 1, 7, 3, 8, 4, 6, 0], []
     bodies = {n: good(spark.createDataFrame([(f"s{n}", snapshot(n))], "snapshot_id STRING, body STRING")) for n in order}
     for batch_id, n in enumerate(order):
-        sinks.upsert_latest(bodies[n], batch_id, table, buckets=2)
+        sinks.upsert_latest(bodies[n], batch_id, table, buckets=2, grace_seconds=0)
         if batch_id % 4 == 3:  # a repeat of a batch that failed after writing
-            sinks.upsert_latest(bodies[n], batch_id, table, buckets=2)
+            sinks.upsert_latest(bodies[n], batch_id, table, buckets=2, grace_seconds=0)
         files.append(len(sinks.read_latest(spark, table).inputFiles()))
     everything = bodies[0]
     for n in order[:-1]:
@@ -297,3 +297,37 @@ def test_alarms_fire_while_the_stream_runs(spark, tmp_path):
                     want.append((spec.name, source, START + start, state))
                 before = state
     assert got == sorted(want) and {a for a, s, _, _ in got if s == "never"} == {"idle"}
+
+
+def test_keyed_table_of_any_number_of_buckets(spark, landing, tmp_path):
+    """Another number of buckets deals the table anew: no key is there twice."""
+    table = str(tmp_path / "table")
+    states = good(read_snapshots(spark, str(landing))).cache()
+    halves = [states.where(F.crc32("snapshot_id") % 2 == n) for n in (0, 1)]
+    for batch_id, (rows, buckets) in enumerate([(halves[0], 16), (halves[1], 8), (halves[0], None), (states, 5)]):
+        sinks.upsert_latest(rows, batch_id, table, buckets)
+    found = sinks.read_latest(spark, table)
+    assert ids(found, "key", "last_contact", "snapshot_id") == ids(latest_state(states), "key", "last_contact", "snapshot_id")
+    assert found.count() == found.select("key").distinct().count()
+
+
+def test_readers_of_the_keyed_table_are_not_disturbed(spark, landing, tmp_path):
+    table = str(tmp_path / "table")
+    states = good(read_snapshots(spark, str(landing))).cache()
+    sinks.upsert_latest(states.where("pos < 4"), 0, table)
+    early = sinks.read_latest(spark, table)
+    want = ids(early, "key", "last_contact")
+    for batch_id in (1, 2, 3, 3):
+        sinks.upsert_latest(states.where(F.col("pos") >= batch_id), batch_id, table)
+    assert ids(early, "key", "last_contact") == want
+    # A folder without a manifest, as a stopped batch leaves it, is no part of the table.
+    now = ids(sinks.read_latest(spark, table), "key", "last_contact")
+    states.limit(1).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{table}/version=9-stopped")
+    assert ids(sinks.read_latest(spark, table), "key", "last_contact") == now
+
+
+def test_latest_state_sorts_no_rows_before_its_exchange(spark, landing):
+    states = good(read_snapshots(spark, str(landing))).cache()
+    plan = latest_state(states)._jdf.queryExecution().sparkPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert "SortAggregate" not in below and "HashAggregate" in below
