@@ -22,7 +22,7 @@ from aerolake.session import use_utc, work_dir
 from aerolake.sources.countries import read_countries
 from aerolake.sources.envelopes import decoded_text
 from aerolake.sources.snapshots import explode_states
-from aerolake.streaming import alarming, jobs, sinks
+from aerolake.streaming import alarming, delivery, jobs, sinks, upkeep
 
 PROCESSED_AT = "2024-02-01 00:00:00"
 CHUNK = 10
@@ -593,6 +593,50 @@ def stream_alarms(spark, sf_dir):
     return _rollup_view(changes)
 
 
+@_query
+def stream_delivered(spark, sf_dir):
+    """Records sent in four batches to a receiver that refuses some: who was taken at which attempt, and who was given up."""
+    root = work_dir(spark, "delivered")
+    records = publish.published_records(feed.states(_landed(spark, sf_dir, root)))
+
+    def send(chunk):
+        return [not (key.endswith("f") or key.endswith("a") and attempt < 3) for key, _, attempt in chunk]
+
+    delivery.run_delivery_stream(records, f"{root}/sent", _settings(root), send, CHUNK).awaitTermination()
+    delivery.drain_records(spark, f"{root}/sent", send, CHUNK)
+    tried = spark.read.schema(delivery.ATTEMPT_SCHEMA).parquet(f"{root}/sent/attempts")
+    taken = tried.where("accepted").groupBy("key", "attempt").agg(F.count("*").alias("records"), F.lit(True).alias("accepted"))
+    lost = delivery.given_up(spark, f"{root}/sent").groupBy("key", "attempt").agg(F.count("*").alias("records"), F.lit(False).alias("accepted"))
+    return taken.unionByName(lost)
+
+
+@_query
+def stream_deduplicated(spark, sf_dir):
+    """Records published twice, in four batches each, as a receiver keeps them: each aircraft and time once."""
+    root = work_dir(spark, "received")
+    stream = _landed(spark, sf_dir, root)
+    for run in ("first", "again"):
+        settings = jobs.StreamSettings(f"{root}/publish-{run}", available_now=True)
+        jobs.run_publish_stream(feed.states(stream), settings, f"{root}/published/run={run}").awaitTermination()
+    records = jobs.read_records_stream(spark, f"{root}/published/*/*", "key STRING, value STRING", "parquet")
+    for _ in range(2):
+        delivery.run_receive_stream(records, f"{root}/received", _settings(root), "40 days").awaitTermination()
+    kept = spark.read.parquet(f"{root}/received")
+    return kept.groupBy("icao24", _seconds("last_contact", "last_contact")).agg(F.count("*").alias("records"))
+
+
+@_query
+def retained_table(spark, sf_dir):
+    """A table by days after its upkeep, which is run twice."""
+    path = work_dir(spark, "retained")
+    states = _stored(_states(spark, sf_dir), "states")
+    upkeep.write_by_day(states, path)
+    newest = states.agg(F.max("last_contact")).first()[0]
+    for _ in range(2):
+        upkeep.expire_days(spark, path, newest, HOURS)
+    return spark.read.parquet(path).select(_event_id(), _seconds("last_contact", "last_contact"))
+
+
 @_query
 def stream_rollup(spark, sf_dir):
     root = work_dir(spark, "rollup")

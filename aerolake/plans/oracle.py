@@ -382,6 +382,15 @@ def oracle_sql() -> dict[str, str]:
         "retention": """
             SELECT event_id, last_contact FROM states
             WHERE last_contact >= (SELECT max(last_contact) FROM states) - 48 * 3600""",
+        "retained_table": """
+            SELECT event_id, last_contact FROM states
+            WHERE last_contact >= (SELECT max(last_contact) FROM states) - 48 * 3600""",
+        "stream_deduplicated": """
+            SELECT DISTINCT icao24, last_contact, CAST(1 AS BIGINT) AS records FROM states""",
+        "stream_delivered": """
+            SELECT key, CAST(CASE right(key, 1) WHEN 'a' THEN 3 WHEN 'f' THEN 4 ELSE 1 END AS INTEGER) AS attempt,
+                   count(*) AS records, right(key, 1) != 'f' AS accepted
+            FROM (SELECT coalesce(nullif(icao24, ''), 'unknown') AS key FROM states) GROUP BY key""",
         "stream_enriched": f"""
             SELECT {_ENRICHED}, true AS event_time FROM states WHERE {_RESULT} = 'Ok'""",
         "stream_errors": """
