@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from pyspark.sql.window import Window
 
 from aerolake.llm.bpe import codec
-from aerolake.llm.common import mapped, ready, shared_dir
+from aerolake.llm.common import ready, shared_dir
 from aerolake.llm.packing import Added
 
 END = 0
@@ -122,12 +122,21 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None, tok
 
 
 def with_crc32(rows: DataFrame) -> DataFrame:
-    """Replaces ids by ids_crc32, the unsigned crc32 of all ids as little-endian unsigned 32-bit integers."""
+    """Replaces ids by ids_crc32, the unsigned crc32 of all ids as little-endian unsigned 32-bit integers. Null ids have no bytes."""
+    ready(rows.sparkSession)
+    kept = [c for c in rows.columns if c != "ids"]
+    schema = StructType([*rows.select(kept).schema.fields, StructField("ids_crc32", LongType())])
 
-    def step(values: list[list[int]]) -> list[list]:
-        return [[zlib.crc32(np.array(ids or [], dtype="<u4").tobytes()) for ids in values]]
-
-    return mapped(rows, "ids", {"ids_crc32": LongType()}, step, [c for c in rows.columns if c != "ids"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(kept)).fill_null([])
+            # The ids lie side by side in one buffer: no list is made of them.
+            data = np.ascontiguousarray(lists.flatten().to_numpy().astype("<u4", copy=False)).view(np.uint8)
+            ends = 4 * np.cumsum(lists.value_lengths().to_numpy())
+            sums = [zlib.crc32(data[start:end]) for start, end in zip(np.append(0, ends).tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums, pa.int64())], names=schema.names)
+
+    return rows.select(*kept, "ids").mapInArrow(run, schema)
 
 
 def token_digest(docs: DataFrame) -> DataFrame:
