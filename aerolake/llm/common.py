@@ -142,21 +142,26 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 8_000
 
 #: Parts that the links of one node are dealt into, so that a node with very many is not one task.
 SPLIT = 64
+#: With so many links at most, even all of them are few for one task, and dealing nodes out costs more than it saves.
+FEW_LINKS = 1 << 20
 
 
-def _with_least(links: DataFrame) -> DataFrame:
+def _with_least(links: DataFrame, split: bool) -> DataFrame:
     """(u, v, m): links with the smallest v of their u, or u itself.
 
-    A node's links lie in up to SPLIT parts by their other end. The smallest of each part and then of
+    With ``split``, a node's links lie in up to SPLIT parts by their other end. The smallest of each part and then of
     each node is found, and handed back to the parts that the node has.
     """
+    if not split:
+        least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        return links.join(least, "u").select("u", "v", "m")
     part = F.pmod(F.xxhash64("v"), F.lit(SPLIT))
     parted = links.withColumn("part", part)
     least = parted.groupBy("u", "part").agg(F.min("v").alias("m")).groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_list("part").alias("parts"))
     return parted.join(least.select("u", "m", F.explode("parts").alias("part")), ["u", "part"]).select("u", "v", "m")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, few_links: int = FEW_LINKS) -> DataFrame:
     """(node, component): the smallest node that links reach from each node of (a, b).
 
     Alternates large stars and small stars (every node tells its neighbours the smallest one), each
@@ -167,8 +172,8 @@ def components(edges: DataFrame) -> DataFrame:
     while (now := tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())) != before:
         before = now
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = _with_least(large)
+        large = _with_least(both, now[0] > few_links).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_least(large, now[0] > few_links)
         least = small.select("u", F.col("m").alias("v"))
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = stored(small.unionByName(least).where("u != v").distinct(), "links")

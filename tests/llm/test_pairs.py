@@ -142,9 +142,10 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
-def test_components_of_a_large_star(spark):
+@pytest.mark.parametrize("few", [0, common.FEW_LINKS])
+def test_components_of_a_large_star(spark, few):
     leaves = spark.range(1, 5000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
-    got = common.components(leaves.unionByName(spark.createDataFrame([(7000, 4999), (7000, 7001), (8000, 8001)], "a long, b long")))
+    got = common.components(leaves.unionByName(spark.createDataFrame([(7000, 4999), (7000, 7001), (8000, 8001)], "a long, b long")), few)
     assert got.groupBy("component").count().orderBy("component").collect() == [(0, 5002), (8000, 2)]
 
 
