@@ -285,3 +285,16 @@ def test_alarm_table_judges_metrics_beyond_its_month(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/events.parquet")
     fired = catalog.alarm_table(spark, str(tmp_path)).collect()
     assert {r["metric"] for r in fired if r["source"] == "ledger"} == {"throttled_records", "throttled_requests"}
+
+
+def test_partials_give_the_rollups_of_all_periods(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("m" if n % 5 else "k", f"s{n % 3}", start + timedelta(seconds=37 * n), float(n % 17)) for n in range(400)]
+    metrics = spark.createDataFrame(rows, "metric string, source string, ts timestamp, value double")
+    partials = alarms.metric_partials(metrics)
+    for seconds in (60, 300, 600):
+        for statistic in ("Sum", "Max"):
+            whole = alarms.metric_rollup(metrics, seconds, statistic)
+            assert sorted(map(tuple, alarms.rollup_of(partials, seconds, statistic).collect())) == sorted(map(tuple, whole.collect()))
+    with pytest.raises(ValueError):
+        alarms.rollup_of(partials, 90, "Sum")
