@@ -22,11 +22,12 @@ from aerolake.session import use_utc, work_dir
 from aerolake.sources.countries import read_countries
 from aerolake.sources.envelopes import decoded_text
 from aerolake.sources.snapshots import explode_states
-from aerolake.streaming import alarming, delivery, jobs, sinks, upkeep
+from aerolake.streaming import alarming, delivery, jobs, replay, sinks, tracking, upkeep
 
 PROCESSED_AT = "2024-02-01 00:00:00"
 CHUNK = 10
 GAP_SECONDS = 6 * 3600
+SLICE_SECONDS = 4 * 3600
 PART_POINTS = 5
 START, MIDDLE, END = 1_704_067_200, 1_705_406_400, 1_706_745_599
 HOURS = 48
@@ -568,10 +569,13 @@ def stream_raw(spark, sf_dir):
     return spark.read.text(paths.raw).groupBy(time.alias("time")).agg(F.count("*").alias("records"))
 
 
-def _landed_by_time(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The events as a stream of four files, one a batch, the week of an event deciding its file."""
+def _landed_by_time(spark: SparkSession, sf_dir: str, root: str, late: bool = False) -> DataFrame:
+    """The events as a stream of four files, one a batch, the week of an event deciding its file; one in 20 a week late, if so asked."""
     rows = feed.events(spark, sf_dir)
-    week = F.least(F.lit(3), F.greatest(F.lit(0), F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - START) / (8 * 86400))))
+    number = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - START) / (8 * 86400))
+    if late:
+        number = number + (F.col("event_id") % 20 == 0).cast("int")
+    week = F.least(F.lit(3), F.greatest(F.lit(0), number))
     for number in range(4):
         rows.where(week == number).coalesce(1).write.mode("append").parquet(f"{root}/landed")
     return spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
@@ -593,6 +597,48 @@ def stream_alarms(spark, sf_dir):
     return _rollup_view(changes)
 
 
+@_query
+def stream_tracks(spark, sf_dir):
+    """Parts of ended tracks, with the points of each, from four batches in which one point in 20 comes a week late."""
+    root = work_dir(spark, "tracks")
+    points = tracks.track_points(feed.states(_landed_by_time(spark, sf_dir, root, late=True)))
+    slicing = jobs.StreamSettings(f"{root}/slicing", available_now=True)
+    tracking.run_slices_stream(points, f"{root}/slices", slicing, SLICE_SECONDS, "16 days").awaitTermination()
+    tracking.run_tracks_stream(spark, f"{root}/slices", GAP_SECONDS, f"{root}/parts", _settings(root)).awaitTermination()
+    ended = tracking.closed_tracks(spark.read.schema(tracking.PARTS_SCHEMA).parquet(f"{root}/parts"))
+    first, last = F.element_at("path", 1), F.element_at("path", -1)
+    return ended.select(
+        "icao24", "callsign", _seconds("start_time", "started"), _seconds("end_time", "ended"), "part", "parts", "points",
+        F.size("path").alias("path_length"), first["longitude"].alias("first_longitude"), first["altitude"].alias("first_altitude"),
+        F.unix_seconds(last["timestamp"]).alias("last_seen"), last["latitude"].alias("last_latitude"), last["on_ground"].alias("on_ground"),
+    )
+
+
+@_query
+def replayed_errors(spark, sf_dir):
+    """Damaged records of the error sink, of which some can be read at the first, second or third attempt and some never."""
+    root = work_dir(spark, "replayed")
+    paths = jobs.LakePaths(root)
+    states = _stored(feed.states(feed.events(spark, sf_dir)), "states")
+    jobs.run_enrichment_stream(feed.envelopes(_stream_states(spark, sf_dir)), paths, _settings(root)).awaitTermination()
+    known = states.select(F.col("snapshot_id").alias("id"), text.encode_envelope(text.state_to_json()).alias("sent"))
+
+    def correct(rows):
+        mended = F.col("recordId").cast("bigint") % 4 < F.col("attempt")
+        mended = mended & (F.col("recordId").cast("bigint") % 4 < 3)
+        return rows.join(known, rows["recordId"] == known["id"]).withColumn("data", F.when(mended, F.col("sent")).otherwise(F.col("data")))
+
+    errors = jobs.read_records_stream(spark, f"{paths.errors}/*/*", "recordId STRING, data STRING")
+    settings = jobs.StreamSettings(f"{root}/replaying", available_now=True)
+    for _ in range(2):
+        replay.run_replay_stream(errors, f"{root}/replays", settings, correct).awaitTermination()
+    replay.drain_replays(spark, f"{root}/replays", correct)
+    ends = replay.replayed(spark, f"{root}/replays").unionByName(replay.replays_given_up(spark, f"{root}/replays"))
+    return ends.select(
+        F.col("recordId").cast("bigint").alias("event_id"), "attempt", "result", F.get_json_object("value", "$.icao24").alias("icao24"),
+    )
+
+
 @_query
 def stream_delivered(spark, sf_dir):
     """Records sent in four batches to a receiver that refuses some: who was taken at which attempt, and who was given up."""

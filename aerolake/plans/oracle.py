@@ -391,6 +391,34 @@ def oracle_sql() -> dict[str, str]:
             SELECT key, CAST(CASE right(key, 1) WHEN 'a' THEN 3 WHEN 'f' THEN 4 ELSE 1 END AS INTEGER) AS attempt,
                    count(*) AS records, right(key, 1) != 'f' AS accepted
             FROM (SELECT coalesce(nullif(icao24, ''), 'unknown') AS key FROM states) GROUP BY key""",
+        "replayed_errors": f"""
+            SELECT event_id, CAST(least(event_id % 4 + 1, 3) AS INTEGER) AS attempt,
+                   CASE WHEN event_id % 4 = 3 THEN 'ProcessingFailed' WHEN {_POSITIONED} THEN 'Ok' ELSE 'Dropped' END AS result,
+                   CASE WHEN event_id % 4 != 3 AND {_POSITIONED} THEN icao24 END AS icao24
+            FROM states WHERE event_id % 61 = 0""",
+        "stream_tracks": """
+            , told AS (
+              SELECT *, last_contact // 14400 AS slice FROM cut
+              WHERE last_contact < (SELECT max(last_contact) - 16 * 86400 FROM cut) // 14400 * 14400
+            ), spans AS (
+              SELECT icao24, callsign, segment, min(last_contact) AS started, max(last_contact) AS ended, count(DISTINCT slice) AS parts
+              FROM told GROUP BY ALL HAVING max(last_contact) + 21600 < (SELECT (max(slice) + 1) * 14400 FROM told)
+            ), pieces AS (
+              SELECT icao24, callsign, segment, slice, count(*) AS points,
+                     arg_min(struct_pack(x := longitude, z := altitude), (last_contact, event_id)) AS head,
+                     arg_max(struct_pack(x := longitude, z := altitude, t := last_contact, y := latitude, g := on_ground), (last_contact, event_id)) AS tail
+              FROM told GROUP BY ALL
+            ), placed AS (
+              SELECT *, row_number() OVER track - 1 AS part, lag(tail) OVER track AS before
+              FROM pieces WINDOW track AS (PARTITION BY icao24, callsign, segment ORDER BY slice)
+            )
+            SELECT p.icao24, p.callsign, started, ended, part, parts, points,
+                   CAST(points + CASE WHEN part > 0 THEN 1 ELSE 0 END AS INTEGER) AS path_length,
+                   CASE WHEN part > 0 THEN before.x ELSE head.x END AS first_longitude,
+                   CASE WHEN part > 0 THEN before.z ELSE head.z END AS first_altitude,
+                   tail.t AS last_seen, tail.y AS last_latitude, tail.g AS on_ground
+            FROM placed p JOIN spans s ON p.icao24 IS NOT DISTINCT FROM s.icao24
+              AND p.callsign IS NOT DISTINCT FROM s.callsign AND p.segment = s.segment""",
         "stream_enriched": f"""
             SELECT {_ENRICHED}, true AS event_time FROM states WHERE {_RESULT} = 'Ok'""",
         "stream_errors": """

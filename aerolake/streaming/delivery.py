@@ -58,11 +58,11 @@ def attempted(records: DataFrame, send: Send, chunk_size: int = CHUNK_SIZE) -> D
     return records.select("key", "value", F.col("attempt").cast("int").alias("attempt")).mapInPandas(sent, ATTEMPT_SCHEMA)
 
 
-def _step(batch_id: int, drain: int = 0) -> str:
+def step_name(batch_id: int, drain: int = 0) -> str:
     return f"{batch_id:012d}-{drain:06d}"
 
 
-def _steps(spark: SparkSession, path: str) -> list[str]:
+def whole_steps(spark: SparkSession, path: str) -> list[str]:
     names = [name.split("=")[1] for name in listed(spark, f"{path}/attempts") if name.startswith("step=")]
     return [name for name in names if "_SUCCESS" in listed(spark, f"{path}/attempts/step={name}")]
 
@@ -72,7 +72,7 @@ def _refused(spark: SparkSession, path: str, step: str) -> DataFrame:
 
 
 def _send_step(records: DataFrame | None, spark: SparkSession, path: str, step: str, send: Send, chunk_size: int, attempts: int) -> None:
-    before = [name for name in _steps(spark, path) if name < step]
+    before = [name for name in whole_steps(spark, path) if name < step]
     rows = []
     if before:
         again = _refused(spark, path, before[-1]).where(F.col("attempt") < attempts)
@@ -80,22 +80,22 @@ def _send_step(records: DataFrame | None, spark: SparkSession, path: str, step:
     if records is not None:
         rows.append(records.select("key", "value", F.lit(1)))
     wanted = rows[0].unionByName(rows[1].toDF(*rows[0].columns)) if len(rows) == 2 else rows[0]
-    for later in [name for name in _steps(spark, path) if name > step]:
+    for later in [name for name in whole_steps(spark, path) if name > step]:
         deleted(spark, f"{path}/attempts/step={later}")  # a repeated batch: what followed was sent after another outcome
     attempted(wanted.toDF("key", "value", "attempt"), send, chunk_size).write.mode("overwrite").parquet(f"{path}/attempts/step={step}")
 
 
 def send_records(records: DataFrame, batch_id: int, path: str, send: Send, chunk_size: int = CHUNK_SIZE, attempts: int = MAX_ATTEMPTS) -> None:
     """Sends what the step before left, then the (key, value) rows of a batch."""
-    _send_step(records, records.sparkSession, path.rstrip("/"), _step(batch_id), send, chunk_size, attempts)
+    _send_step(records, records.sparkSession, path.rstrip("/"), step_name(batch_id), send, chunk_size, attempts)
 
 
 def drain_records(spark: SparkSession, path: str, send: Send, chunk_size: int = CHUNK_SIZE, attempts: int = MAX_ATTEMPTS) -> None:
     """Sends what the last batch left until all is taken or given up."""
     path = path.rstrip("/")
-    while (steps := _steps(spark, path)) and not _refused(spark, path, steps[-1]).where(F.col("attempt") < attempts).isEmpty():
+    while (steps := whole_steps(spark, path)) and not _refused(spark, path, steps[-1]).where(F.col("attempt") < attempts).isEmpty():
         batch_id, drain = map(int, steps[-1].split("-"))
-        _send_step(None, spark, path, _step(batch_id, drain + 1), send, chunk_size, attempts)
+        _send_step(None, spark, path, step_name(batch_id, drain + 1), send, chunk_size, attempts)
 
 
 def delivery_steps(spark: SparkSession, path: str, attempts: int = MAX_ATTEMPTS) -> DataFrame:
