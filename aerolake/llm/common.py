@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.window import Window
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -47,11 +48,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/aerolake-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: what follows doesn't compute them anew."""
+#: Fewest tasks that write a stored table of known size, however small it is.
+FEWEST_FILES = 16
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None, each: int = 1 << 20) -> DataFrame:
+    """The rows, written to the shared folder and read again: what follows doesn't compute them anew.
+
+    Where a bound on the number of rows is known, tasks are joined until each writes about ``each`` of them, so that
+    a small table isn't as many files as there are shuffle partitions.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    sized = df if rows is None else df.coalesce(max(FEWEST_FILES, -(-rows // each)))
+    sized.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -147,16 +157,16 @@ FEW_LINKS = 1 << 20
 
 
 def _with_least(links: DataFrame, split: bool) -> DataFrame:
-    """(u, v, m): links with the smallest v of their u, or u itself.
+    """(u, v, m): distinct links with the smallest v of their u, or u itself.
 
     With ``split``, a node's links lie in up to SPLIT parts by their other end. The smallest of each part and then of
     each node is found, and handed back to the parts that the node has.
     """
-    if not split:
-        least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return links.join(least, "u").select("u", "v", "m")
+    if not split:  # distinct links and their order by u need no other exchange
+        order = Window.partitionBy("u").orderBy("v")
+        return links.repartition("u").distinct().select("u", "v", F.least(F.first("v").over(order), "u").alias("m"))
     part = F.pmod(F.xxhash64("v"), F.lit(SPLIT))
-    parted = links.withColumn("part", part)
+    parted = links.distinct().withColumn("part", part)
     least = parted.groupBy("u", "part").agg(F.min("v").alias("m")).groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_list("part").alias("parts"))
     return parted.join(least.select("u", "m", F.explode("parts").alias("part")), ["u", "part"]).select("u", "v", "m")
 
@@ -165,7 +175,8 @@ def components(edges: DataFrame, few_links: int = FEW_LINKS) -> DataFrame:
     """(node, component): the smallest node that links reach from each node of (a, b).
 
     Alternates large stars and small stars (every node tells its neighbours the smallest one), each
-    round written to the shared folder, until nothing changes. Only two numbers go to the driver.
+    round written to the shared folder, until nothing changes. A star gives one link for each that it takes,
+    so no round has more links than the first. Only two numbers go to the driver.
     """
     pairs = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     pairs, before = stored(pairs, "links"), None
@@ -173,10 +184,9 @@ def components(edges: DataFrame, few_links: int = FEW_LINKS) -> DataFrame:
         before = now
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both, now[0] > few_links).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = _with_least(large, now[0] > few_links)
-        least = small.select("u", F.col("m").alias("v"))
-        small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(small.unionByName(least).where("u != v").distinct(), "links")
+        # The link to the smallest node ties the node itself, any other ties its other end.
+        small = _with_least(large, now[0] > few_links).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        pairs = stored(small, "links", now[0])
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -40,6 +40,8 @@ LOOKS = 5
 #: Classes of a bucket or family, and shingles of a family, that one task compares with each other.
 CHUNK = 1024
 CHUNK_SHINGLES = 1 << 20
+#: Rows that a task writes after it compared them or made their sets.
+TASK_ROWS = 1 << 14
 #: Classes of a large family that are compared with all its chunks first.
 PIVOTS = 8
 
@@ -207,13 +209,13 @@ def _first_pass(members: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int
     return together.mapInArrow(run, "bucket long, a long, b long, n long")
 
 
-def _between_families(members: DataFrame, families: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int]], chunk: int) -> DataFrame:
+def _between_families(members: DataFrame, families: DataFrame, sigs: DataFrame, bounds: list[tuple[int, int]], chunk: int, places: int) -> DataFrame:
     """(a, b): for each bucket, surviving pairs that connect what families of it survive against each other.
 
     Classes outside the bucket's largest family meet all classes of the bucket, a chunk with a chunk at a time.
     """
     rows = members.join(families, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    rows = _asking(rows.withColumn("room", F.lit(1 / chunk)), "bucket", F.ceil(F.col("n") / chunk))
+    rows = _asking(rows.withColumn("room", F.lit(1 / chunk)), "bucket", F.ceil(F.col("n") / chunk), places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, 3):
@@ -238,11 +240,11 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _asking(rows: DataFrame, group: str, chunks: Column) -> DataFrame:
+def _asking(rows: DataFrame, group: str, chunks: Column, size: int | None = None) -> DataFrame:
     """(group, ask, chunk, node, part, asks): of groups with several parts, each chunk of those outside the largest part with each chunk of all.
 
     ``chunks`` is the number of chunks, from the number ``n`` of a group's rows; ``room`` of a row is the
-    share of a chunk that it takes. So (group, ask, chunk), which is one task, holds two chunks.
+    share of a chunk that it takes, ``size`` bounds the rows where it is known. So (group, ask, chunk), which is one task, holds two chunks.
     """
     largest = F.struct("size", "part")
     parts = rows.groupBy(group, "part").agg(F.count(F.lit(1)).alias("size"), F.sum("room").alias("room"))
@@ -251,7 +253,7 @@ def _asking(rows: DataFrame, group: str, chunks: Column) -> DataFrame:
     ).where("parts > 1")
     rows = rows.join(main, group).withColumn("chunks", chunks.cast("long"))
     askers = F.greatest(F.lit(1), F.least("chunks", F.ceil("asking"))).cast("long").alias("askers")
-    rows = stored(rows.select(group, "node", "part", "chunks", askers, (F.col("part") != F.col("main.part")).alias("small")), "minhash-open")
+    rows = stored(rows.select(group, "node", "part", "chunks", askers, (F.col("part") != F.col("main.part")).alias("small")), "minhash-open", size)
     place = lambda count: F.pmod(F.xxhash64("node"), count)
     right = rows.select(group, _each("askers").alias("ask"), place("chunks").alias("chunk"), "node", "part", F.lit(False).alias("asks"))
     left = rows.where("small").select(group, place("askers").alias("ask"), _each("chunks").alias("chunk"), "node", "part", F.lit(True).alias("asks"))
@@ -301,19 +303,19 @@ def _confirm(rows: DataFrame, facts: DataFrame, bounds: list[tuple[int, int]], s
     return together.repartition("family", "ask", "chunk").sortWithinPartitions("family", "ask", "chunk", "node").mapInArrow(run, "a long, b long")
 
 
-def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int) -> DataFrame:
+def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: list[tuple[int, int]], words: int, similarity: int, chunk: int, size: int) -> DataFrame:
     """(a, b): exact links, or what they connect, of the classes (node, component) of each family."""
     texts = docs.join(families.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = mapped(texts, "text", {"shingles": BinaryType()}, lambda ts: [[shingle_check(t, words).tobytes() for t in ts]])
-    facts = stored(sets.dropDuplicates().withColumnRenamed("doc_id", "node").join(classes.select("node", "sig"), "node"), "minhash-facts")
+    facts = stored(sets.dropDuplicates().withColumnRenamed("doc_id", "node").join(classes.select("node", "sig"), "node"), "minhash-facts", size, TASK_ROWS)
     sized = families.withColumnRenamed("component", "family").join(facts.select("node", F.octet_length("shingles").alias("bytes")), "node")
     sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     sizes = sizes.select("family", F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("bytes") / (8 * CHUNK_SHINGLES))).alias("chunks"))
     room = F.greatest(F.count(F.lit(1)) / chunk, F.sum("bytes") / (8 * CHUNK_SHINGLES)).alias("room")
     rows = sized.groupBy("family", "node").agg(room).join(sizes, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
-    rows = stored(rows, "minhash-families")
+    rows = stored(rows, "minhash-families", size)
     alone = rows.select("family", F.lit(0).cast("long").alias("ask"), "chunk", "node", F.col("node").alias("part"), F.lit(True).alias("asks"), F.lit(True).alias("there"))
-    found = stored(_confirm(alone, facts, bounds, similarity), "minhash-links")
+    found = stored(_confirm(alone, facts, bounds, similarity), "minhash-links", size, TASK_ROWS)
     large = rows.where("chunks > 1")
     if large.isEmpty():
         return found
@@ -328,12 +330,12 @@ def _links(families: DataFrame, docs: DataFrame, classes: DataFrame, bounds: lis
     columns = ["family", "ask", "chunk", "node", "part", "asks", "there"]
     asking = pivots.withColumns({"asks": F.lit(True), "there": F.lit(False)})
     staying = large.withColumns({"asks": F.lit(False), "there": F.lit(True)})
-    known = stored(components(found), "minhash-parts")
+    known = stored(components(found), "minhash-parts", size)
     given = ["family", "chunk", "node", "asks", "there"]
     both = in_parts(asking.select(given).unionByName(staying.select(given)), known).withColumn("ask", F.lit(0).cast("long"))
-    tied = stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links")
-    known = stored(components(_stars(known).unionByName(tied)), "minhash-parts")
-    open_ = _asking(in_parts(large.select("family", "node", "chunks", "room"), known), "family", F.col("chunks")).withColumn("there", ~F.col("asks"))
+    tied = stored(_confirm(both.select(columns), facts, bounds, similarity), "minhash-links", size, TASK_ROWS)
+    known = stored(components(_stars(known).unionByName(tied)), "minhash-parts", size)
+    open_ = _asking(in_parts(large.select("family", "node", "chunks", "room"), known), "family", F.col("chunks"), size).withColumn("there", ~F.col("asks"))
     return _stars(known).unionByName(stored(_confirm(open_.select(columns), facts, bounds, similarity), "minhash-links"))
 
 
@@ -378,29 +380,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
 
     made = {"n_shingles": LongType(), "key": BinaryType(), "bands": ArrayType(LongType()), "sig": BinaryType()}
     rows = stored(mapped(docs, "text", made, step, ["doc_id"]), "minhash-rows")
+    size = rows.count()  # bounds classes, components and, times bands, members
+    places = size * (HASHES // per_band)
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    classes = stored(classes, "minhash-classes")
+    classes = stored(classes, "minhash-classes", size, TASK_ROWS)
     sigs = classes.select("node", "sig")
-    members = stored(_several(classes.select(F.explode("bands").alias("bucket"), "node")), "minhash-members")
+    members = stored(_several(classes.select(F.explode("bands").alias("bucket"), "node")), "minhash-members", places)
 
-    found = stored(_first_pass(members, sigs, bounds, chunk), "minhash-links")
+    found = stored(_first_pass(members, sigs, bounds, chunk), "minhash-links", places, TASK_ROWS)
     links = found.where("b is not null").select("a", "b")
     live = found.select("bucket")
     heads = found.where("b is null").select("bucket", F.col("a").alias("node")).distinct()
     waiting, before = heads.count(), None
     while waiting and waiting != before:  # pivots that stay apart are left to the second pass
-        level = stored(_first_pass(_several(heads), sigs, bounds, chunk), "minhash-heads")
+        level = stored(_first_pass(_several(heads), sigs, bounds, chunk), "minhash-heads", waiting, TASK_ROWS)
         links = links.unionByName(level.where("b is not null").select("a", "b"))
         heads = level.where("b is null").select("bucket", F.col("a").alias("node")).distinct()
         waiting, before = heads.count(), waiting
-    ties = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-ties")
-    families = stored(components(ties), "minhash-apart")
-    more = _between_families(members.join(live.distinct(), "bucket", "left_semi"), families, sigs, bounds, chunk)
-    more = stored(more, "minhash-more")
+    ties = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-ties", places)
+    families = stored(components(ties), "minhash-apart", size)
+    more = _between_families(members.join(live.distinct(), "bucket", "left_semi"), families, sigs, bounds, chunk, places)
+    more = stored(more, "minhash-more", places, TASK_ROWS)
     if not more.isEmpty():
-        families = stored(components(_stars(families).unionByName(more)), "minhash-together")
-    links = _links(families, docs, classes, bounds, words, similarity, chunk).unionByName(_same_id(rows, classes))
-    known = stored(components(links), "minhash-known")
+        families = stored(components(_stars(families).unionByName(more)), "minhash-together", size)
+    links = _links(families, docs, classes, bounds, words, similarity, chunk, size).unionByName(_same_id(rows, classes))
+    known = stored(components(links), "minhash-known", size)
     reps = classes.select("key", "node").join(known, "node", "left").select("key", F.coalesce("component", "node").alias("rep"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
     return (
