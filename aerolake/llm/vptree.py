@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -133,7 +135,7 @@ class Tree:
         return names, best, made
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
+def _matrix(column: Sequence[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.float64).reshape(len(column), -1)
 
 
@@ -155,26 +157,37 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, factor: float = FACTOR, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of each query (vec_id, vec), ties to the smaller id.
 
-    Each block of queries meets each tree in a task of its own.
+    Queries are packed into blocks, and a copy of each block goes to each shard, where it meets the trees one after
+    the other: a tree moves once, and a task holds one tree and one block at a time.
     """
     queries = queries.where("vec is not null and vec_id is not null")
     queries = stored(queries.select(F.col("vec_id").alias("query_id"), "vec", F.octet_length("vec").alias("dim"), F.monotonically_increasing_id().alias("query")), "vp-queries")
     blocks = max(1, math.ceil(queries.count() / block))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
-    trees = index.select("shard", "dim", "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    shards = index.select(F.col("shard").alias("with_shard"), F.col("dim").alias("with_dim"))
-    asked = asked.join(shards, F.col("dim") == F.col("with_dim")).drop("dim")
-
-    def meet(tree: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        if tree.empty or group.empty:
-            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("query", "int64"), ("query_id", "int64"), ("vec_id", "int64"), ("score", "float64"))})
-        names, scores, _ = Tree.unpack(tree["tree"].iloc[0]).search(group["query_id"].to_numpy(np.int64), _matrix(group["vec"]), k, factor)
-        good = scores > -np.inf
-        row = np.repeat(np.arange(len(group)), good.sum(axis=1))
-        return pd.DataFrame({"query": group["query"].to_numpy()[row], "query_id": group["query_id"].to_numpy()[row], "vec_id": names[good], "score": scores[good]})
-
-    met = trees.groupBy("shard", "dim", "block").cogroup(asked.groupBy("with_shard", "with_dim", "block"))
-    found = met.applyInPandas(meet, "query long, query_id long, vec_id long, score double")
+    last = index.agg(F.max("shard")).first()[0] or 0
+    row = F.struct("query", "query_id", "vec")
+    packed = queries.groupBy("dim", F.pmod(F.xxhash64("query"), F.lit(blocks)).alias("block")).agg(F.collect_list(row).alias("rows"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("shard")
+    asking = packed.select(each, "dim", "block", F.lit(None).cast("binary").alias("tree"), "rows")
+    trees = index.select("shard", "dim", F.lit(-1).cast("long").alias("block"), "tree", F.lit(None).cast(asking.schema["rows"].dataType).alias("rows"))
+    # Each shard is a partition of its own: the work of one doesn't show in its bytes.
+    together = trees.unionByName(asking).repartitionById(last + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "dim", "block")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, place = None, None
+        for batch in batches:
+            places = zip(batch.column("shard").to_pylist(), batch.column("dim").to_pylist())
+            for i, here in enumerate(places):
+                if batch.column("tree")[i].is_valid:
+                    tree, place = Tree.unpack(batch.column("tree")[i].as_py()), here
+                elif here == place:  # else the shard has no vectors of this length
+                    query, own, vec = batch.column("rows")[i].values.flatten()
+                    names, scores, _ = tree.search(own.to_numpy(), _matrix(vec.to_pylist()), k, factor)
+                    good = scores > -np.inf
+                    line = np.repeat(np.arange(len(own)), good.sum(axis=1))
+                    found = [query.to_numpy()[line], own.to_numpy()[line], names[good], scores[good]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query", "query_id", "vec_id", "score"])
+
+    found = together.mapInArrow(meet, "query long, query_id long, vec_id long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -241,6 +241,22 @@ def test_nearest_is_exact_with_factor_one(spark):
     assert all(abs(a[2] - b[2]) < 1e-9 for q in got for a, b in zip(got[q], want[q]))
 
 
+def test_blocks_of_queries_visit_trees_that_stay(spark):
+    draw = np.random.default_rng(11)
+    points = {i: draw.normal(size=3 if i % 4 else 5) for i in range(240)}
+    rows = spark.createDataFrame([(i, p.astype("<f8").tobytes()) for i, p in points.items()], "vec_id long, vec binary")
+    index = common.stored(vptree.build_index(rows, shard_rows=40), "vp-index")
+    assert index.select("shard").distinct().count() > 3
+    found = vptree.search(index, rows.where("vec_id % 3 = 0"), k=4, block=16)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    for i in range(0, 240, 3):
+        near = sorted((-float(points[i] @ p), j) for j, p in points.items() if j != i and len(p) == len(points[i]))[:4]
+        assert [got[i][n] for n in range(1, 5)] == [j for _, j in near]
+
+
 def test_nearest_of_few_and_none(spark):
     rows = [(0, [1.0, 0.0], "x"), (1, [1.0, 0.0], "x"), (2, [1.0, 0.0], "x"), (None, [9.0, 9.0], "x"), (40, None, "x")]
     out = vptree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")).collect()
