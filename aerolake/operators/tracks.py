@@ -151,8 +151,10 @@ def assemble_tracks(
     """
     in_instant = Window.partitionBy(*[f"p.{k}" for k in KEY], "p.timestamp").orderBy("p.snapshot_id", "p.pos")
     number = F.col("n.before") + F.row_number().over(in_instant) - 1
+    # Both sides grow with the input, and Spark takes decoded rows for smaller than they are: without the hint
+    # it would collect one of them on the driver to broadcast it.
     placed = points.alias("p").join(
-        _instants(points, gap_seconds).alias("n"), _same_key("p", "n", "timestamp")
+        _instants(points, gap_seconds).alias("n").hint("merge"), _same_key("p", "n", "timestamp")
     ).select(
         *[f"p.{k}" for k in KEY],
         "n.segment", "n.total", "n.start_time", "n.end_time",

@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from aerolake.operators import tracks
+from aerolake.operators.decode import decode_state_vector, good_states
 from aerolake.operators.enrich import FAILED, OK
+from aerolake.sources.snapshots import explode_states
 from aerolake.streaming import jobs, replay, tracking
 
 POINTS = (
@@ -123,3 +125,14 @@ def test_replays_of_nothing(spark, tmp_path):
     replay.replay_errors(spark.createDataFrame([], "recordId STRING, data STRING"), 0, path, lambda rows: rows)
     replay.drain_replays(spark, path, lambda rows: rows)
     assert replay.replayed(spark, path).count() == replay.replays_given_up(spark, path).count() == 0
+
+
+def test_paths_of_decoded_points_join_without_the_driver(spark):
+    """Bodies of 50 states look small to Spark, so it would broadcast the points."""
+    state = '["a",null,"q",null,1704067200,1.5,2.5,null,false,null,null,null,null,null,null,false,0]'
+    bodies = spark.range(100).select(F.col("id").cast("string").alias("snapshot_id"), F.lit(f'{{"states": [{",".join([state] * 50)}]}}').alias("body"))
+    points = tracks.track_points(good_states(decode_state_vector(explode_states(bodies))))
+    assembled = tracks.assemble_tracks(points, 60, max_points=1000)
+    plan = assembled._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan[: plan.index("SortMergeJoin")]
+    assert sorted((r["part"], r["points"], len(r["path"])) for r in assembled.collect()) == [(n, 1000, 1000 + (n > 0)) for n in range(5)]
