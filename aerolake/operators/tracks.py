@@ -132,7 +132,7 @@ def _instants(points: DataFrame, gap_seconds: int | None) -> DataFrame:
         "end_time": F.max("last_ts").over(segment),
     })
     instants = instants.withColumn("in_block", F.coalesce(F.sum("here").over(in_block), F.lit(0)))
-    return instants.alias("i").join(blocks.alias("b"), _same_key("i", "b", "block")).select(
+    return instants.alias("i").join(blocks.alias("b").hint("merge"), _same_key("i", "b", "block")).select(
         *[f"i.{k}" for k in KEY],
         "i.timestamp", "b.segment", "b.total", "b.start_time", "b.end_time",
         (F.col("b.earlier") + F.col("i.in_block")).alias("before"),
