@@ -19,14 +19,15 @@ def latest_state(
     """One row per publish key: the newest ``last_contact``, ties by snapshot and position.
 
     A null ``last_contact`` loses to any other. The newest time of each key is a number that map tasks reduce by
-    hash; only rows that reach it are compared further, so no task sorts or shuffles whole rows of a hot key.
+    hash; only rows that reach it are compared further. Rows meet the newest times by key and time, so those of a hot
+    key are spread by their times, and neither side is collected on the driver, however many keys there are.
     ``states`` is read twice: pass a stored or persisted table.
     """
     first = order[0]
     columns = [c for c in states.columns if c != "key"]
     keyed = states.select(publish_key(F.col("icao24")).alias("key"), *columns)
     newest = keyed.groupBy("key").agg(F.max(first).alias("_newest")).withColumnRenamed("key", "_key")
-    reached = keyed.join(newest, (F.col("key") == F.col("_key")) & F.col(first).eqNullSafe(F.col("_newest")))
+    reached = keyed.join(newest.hint("merge"), (F.col("key") == F.col("_key")) & F.col(first).eqNullSafe(F.col("_newest")))
     best = reached.groupBy("key").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_row"))
     return best.select("key", "_row.*")
 

@@ -331,3 +331,9 @@ def test_latest_state_sorts_no_rows_before_its_exchange(spark, landing):
     plan = latest_state(states)._jdf.queryExecution().sparkPlan().toString()
     below = plan[plan.index("Join"):]
     assert "SortAggregate" not in below and "HashAggregate" in below
+
+
+def test_latest_state_joins_without_the_driver(spark, landing):
+    """There is a newest time for each key, so these may not go to the driver to be broadcast."""
+    plan = latest_state(good(read_snapshots(spark, str(landing))).cache())._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
