@@ -47,7 +47,8 @@ def number_in_order(rows: DataFrame) -> DataFrame:
     shuffle by ``sequenced_states``.
 
     Rows are numbered inside blocks of positions, and each block is shifted by the rows
-    before it, a running sum over block counts. So no task ever sorts a whole snapshot.
+    before it, a running sum over block counts. So no task ever sorts a whole snapshot. There are as many shifts as
+    snapshots at least, so they are not broadcast.
     """
     blocked = rows.withColumn("_block", F.floor(F.col("pos") / _BLOCK))
     in_block = Window.partitionBy("snapshot_id", "_block").orderBy("pos")
@@ -61,7 +62,7 @@ def number_in_order(rows: DataFrame) -> DataFrame:
     )
     return (
         blocked.withColumn("_rank", F.row_number().over(in_block) - 1)
-        .join(offsets, ["snapshot_id", "_block"])
+        .join(offsets.hint("merge"), ["snapshot_id", "_block"])
         .withColumn("seq", F.col("_before") + F.col("_rank"))
         .drop("_block", "_before", "_rank")
     )

@@ -56,6 +56,13 @@ def test_numbering_is_dense_across_blocks(states, rows, monkeypatch):
     assert got == expected
 
 
+def test_numbering_joins_without_the_driver(spark):
+    """There is a shift for each snapshot and block, so these may not go to the driver to be broadcast."""
+    rows = spark.range(100).select(F.col("id").cast("string").alias("snapshot_id"), F.lit(0).alias("pos"))
+    plan = publish.number_in_order(rows)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_ledger_and_outcome(spark, states, rows):
     ledger = publish.delivery_ledger(states, 100, F.col("pos") == 7)
     got = {(r.snapshot_id, r.batch_no): r for r in ledger.collect()}
