@@ -29,6 +29,9 @@ CHUNK = 10
 GAP_SECONDS = 6 * 3600
 SLICE_SECONDS = 4 * 3600
 PART_POINTS = 5
+
+# A batch of the streams is one file, and Spark reads a file by no more tasks than it has row groups.
+ROW_GROUP_BYTES = 4 * 1024 * 1024
 START, MIDDLE, END = 1_704_067_200, 1_705_406_400, 1_706_745_599
 HOURS = 48
 
@@ -485,11 +488,22 @@ def _stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.states(feed.events_stream(spark, sf_dir))
 
 
+def _land(rows: DataFrame, root: str) -> None:
+    """Writes files that many tasks can read: each has as many row groups as its size asks."""
+    rows.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{root}/landed")
+
+
+def _landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """The landed files as a stream, one a batch; its rows are dealt to all cores, since decoding them takes far longer than reading."""
+    files = spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+    return files.repartition(2 * spark.sparkContext.defaultParallelism)
+
+
 def _landed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The events as a stream of four files, one a batch."""
     rows = feed.events(spark, sf_dir).repartitionByRange(4, "event_id")
-    rows.write.parquet(f"{root}/landed")
-    return spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+    _land(rows, root)
+    return _landed_files(spark, root)
 
 
 def _settings(root: str) -> jobs.StreamSettings:
@@ -577,8 +591,9 @@ def _landed_by_time(spark: SparkSession, sf_dir: str, root: str, late: bool = Fa
         number = number + (F.col("event_id") % 20 == 0).cast("int")
     week = F.least(F.lit(3), F.greatest(F.lit(0), number))
     for number in range(4):
-        rows.where(week == number).coalesce(1).write.mode("append").parquet(f"{root}/landed")
-    return spark.readStream.schema(feed.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        # All tasks search the events, one writes the file.
+        _land(rows.where(week == number).repartition(1), root)
+    return _landed_files(spark, root)
 
 
 @_query
