@@ -29,10 +29,12 @@ def attempted(records: DataFrame, send: Send, chunk_size: int = CHUNK_SIZE) -> D
     """Hands (key, value, attempt) rows to a client in chunks; adds ``accepted``.
 
     ``send`` tells for each record of a chunk whether it was taken; an exception refuses the chunk and others go
-    on. A task holds one chunk at a time. Write the result once: every evaluation sends again.
+    on. A task holds the answers of one batch of rows and one chunk at a time. Write the result once: every evaluation sends again.
     """
     import pandas as pd
 
+    names = ["key", "value", "attempt", "accepted"]
+
     def answers(chunk: list[tuple[str, str, int]]) -> list[bool]:
         try:
             taken = [bool(x) for x in send(chunk)]
@@ -44,16 +46,19 @@ def attempted(records: DataFrame, send: Send, chunk_size: int = CHUNK_SIZE) -> D
         chunk: list[tuple[str, str, int]] = []
 
         def flushed():
-            return pd.DataFrame([(*row, ok) for row, ok in zip(chunk, answers(chunk))], columns=["key", "value", "attempt", "accepted"])
+            return [(*row, ok) for row, ok in zip(chunk, answers(chunk))]
 
         for batch in batches:
+            done = []
             for row in zip(batch["key"], batch["value"], batch["attempt"].tolist()):
                 chunk.append(row)
                 if len(chunk) == chunk_size:
-                    yield flushed()
+                    done += flushed()
                     chunk.clear()
+            if done:
+                yield pd.DataFrame(done, columns=names)
         if chunk:
-            yield flushed()
+            yield pd.DataFrame(flushed(), columns=names)
 
     return records.select("key", "value", F.col("attempt").cast("int").alias("attempt")).mapInPandas(sent, ATTEMPT_SCHEMA)
 

@@ -163,3 +163,16 @@ def test_compaction_of_closed_days(spark, tmp_path, monkeypatch, stop):
         assert lines() == before
     files = [len(glob.glob(f"{path}/ingest_date=2024-01-0{d}/*/*.txt")) for d in (1, 2, 3)]
     assert 1 <= files[0] <= 2 and 1 <= files[1] <= 2 and files[2] >= 10
+
+
+def test_chunks_are_whole_across_batches_of_rows(spark):
+    """Chunks of ten go out whole where rows come by seven; only the last one of the task is shorter."""
+    rows = spark.range(25).coalesce(1).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"), F.lit(1).alias("attempt"))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 7)
+    try:
+        tried = delivery.attempted(rows, lambda chunk: [len(chunk) == 10] * len(chunk), 10).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted((int(r["key"]), r["accepted"]) for r in tried) == [(n, n < 20) for n in range(25)]
