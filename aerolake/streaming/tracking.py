@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
@@ -65,10 +65,11 @@ def _processor(gap_seconds: int) -> StatefulProcessor:
     """The track that is open under one key: its first and last time, its parts and points so far and its last point.
 
     Slices wait in the state until the watermark reaches their end, so those of one batch are taken in
-    order. A key has one timer, so a slice costs few calls of the state store. Defined in here, so that workers need not
+    order. A key has one timer, so a slice costs few calls of the state store, and rows of many keys come and go in one
+    Arrow batch. Defined in here, so that workers need not
     import this package.
     """
-    gap, columns = gap_seconds * 1_000_000, _PARTS.names
+    gap, part_row = gap_seconds * 1_000_000, Row(*_PARTS.names)
     state_type = StructType([
         *[StructField(n, LongType()) for n in ("start", "last", "part", "points")], StructField("tail", StringType()),
         StructField("timer", LongType()), StructField("ends", ArrayType(LongType())),
@@ -105,25 +106,19 @@ def _processor(gap_seconds: int) -> StatefulProcessor:
             self.kept.update((*(track or (None,) * 5), due, *lists))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
-            import pandas as pd
-
             track, timer, waiting = self._load()
-            for frame in rows:
-                for end, times, path in zip(frame["end"].tolist(), frame["times"], frame["path"]):
-                    waiting.append((end, [int(t) for t in times], list(path)))
+            waiting += [(row["end"], list(row["times"]), list(row["path"])) for row in rows]
             self._keep(track, timer, waiting)
-            yield pd.DataFrame(columns=columns)
+            return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
-            import pandas as pd
-
             now, out = timerValues.getCurrentWatermarkInMs() * 1000, []
             track, _, waiting = self._load()
             due, later = sorted((s for s in waiting if s[0] <= now), key=lambda s: s[0]), [s for s in waiting if s[0] > now]
 
             def close() -> None:
                 start, last, part, points, _ = track
-                out.append((*key, start, last, part, points, True, []))
+                out.append(part_row(*key, start, last, part, points, True, []))
 
             for _, times, path in due:
                 cuts = [0, *(i for i in range(1, len(times)) if times[i] - times[i - 1] > gap), len(times)]
@@ -133,15 +128,14 @@ def _processor(gap_seconds: int) -> StatefulProcessor:
                         track = None
                     start, _, part, points, tail = track or (times[i], 0, 0, 0, None)
                     line = ([] if tail is None else [tail]) + list(path[i:j])
-                    out.append((*key, start, times[j - 1], part, j - i, False, line))
+                    out.append(part_row(*key, start, times[j - 1], part, j - i, False, line))
                     track = (start, times[j - 1], part + 1, points + j - i, path[j - 1])
             if track and now - track[1] > gap:
                 close()
                 track = None
             # The timer that fired is gone.
             self._keep(track, 0, later)
-            if out:
-                yield pd.DataFrame(out, columns=columns)
+            return iter(out)
 
         def close(self) -> None:
             pass
@@ -162,7 +156,7 @@ def track_parts(slices: DataFrame, gap_seconds: int) -> DataFrame:
     the numbers of its parts and points.
     """
     told = slices.select(*KEY, F.unix_micros("closed").alias("end"), "times", "path", "closed").withWatermark("closed", "0 seconds")
-    parts = told.groupBy(*KEY).transformWithStateInPandas(_processor(gap_seconds), _PARTS, "Append", "EventTime")
+    parts = told.groupBy(*KEY).transformWithState(_processor(gap_seconds), _PARTS, "Append", "EventTime")
     times = [F.timestamp_micros(name).alias(f"{name}_time") for name in ("start", "end")]
     return parts.select(*KEY, *times, "part", "points", "closed", F.transform("path", _point).alias("path"))
 
@@ -180,7 +174,7 @@ def closed_tracks(parts: DataFrame) -> DataFrame:
     for name in [*KEY, "start_time"]:
         same = same & F.col(f"p.{name}").eqNullSafe(F.col(f"c.{name}"))
     ended = parts.where("closed").alias("c")
-    joined = parts.where("NOT closed").alias("p").join(ended, same).select(
+    joined = parts.where("NOT closed").alias("p").join(ended.hint("merge"), same).select(
         *[f"p.{k}" for k in KEY], "p.start_time", "c.end_time", "p.part", F.col("c.part").alias("parts"), "p.points", "p.path",
     )
     span = (F.col("start_time"), F.col("end_time"))
