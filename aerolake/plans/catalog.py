@@ -128,15 +128,21 @@ def country_file(spark, sf_dir):
     return read_countries(spark, path)
 
 
-@_query
-def user_transform(spark, sf_dir):
-    """User code for each record of a batch of envelopes."""
+def _lengths():
+    """User code: the size of each record's data."""
 
     def lengths(frames):
+        # Not ``.str.len()``: a column and its ``str`` hold each other, so columns would pile up until a full collection.
         for frame in frames:
-            yield frame[["recordId"]].assign(size=frame["data"].str.len().astype("int64"))
+            yield frame[["recordId"]].assign(size=frame["data"].map(len).astype("int64"))
+
+    return lengths
 
-    sizes = feed.envelopes(_states(spark, sf_dir)).mapInPandas(lengths, "recordId STRING, size BIGINT")
+
+@_query
+def user_transform(spark, sf_dir):
+    """User code for each record of a batch of envelopes."""
+    sizes = feed.envelopes(_states(spark, sf_dir)).mapInPandas(_lengths(), "recordId STRING, size BIGINT")
     return sizes.select(F.col("recordId").cast("bigint").alias("event_id"), (F.col("size") % 4 == 0).alias("whole"), (F.col("size") > 3).alias("filled"))
 
 
