@@ -4,6 +4,9 @@ A shard's vectors get one more coordinate that makes their norms equal; then a l
 product is a smaller distance, and the triangle inequality holds. A node keeps the range of distances
 from its vantage point on either side. A side is left out for a query when its smallest possible
 distance times ``factor`` is beyond the k-th best so far: factor 1 is exact, more is faster and misses some.
+
+Products are first made by the matrix product, whose sums have no fixed order; only those that can be among the k
+best within its rounding are made again in the order of coordinates.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ SHARD_ROWS = 4096
 LEAF = 64
 BLOCK = 2048
 FACTOR = 1.0
+#: Tasks that trees are dealt to, a tree each while there are no more; bytes of trees that a task holds.
+TASKS = 32
+HELD = 64 << 20
 
 
 def products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -38,6 +44,14 @@ def products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     return out
 
 
+def some_products(queries: np.ndarray, points: np.ndarray, line: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """The same for pairs of columns only."""
+    out = np.zeros(len(line))
+    for a, b in zip(queries, points):
+        out += a[line] * b[point]
+    return out
+
+
 class Tree:
     """Nodes are rows: vantage point (or first row of a leaf), end of a leaf, two children, distance ranges."""
 
@@ -72,65 +86,110 @@ class Tree:
 
         grow(np.arange(len(ids)))
         self.nodes = np.array(nodes)
-        self.ids, self.points = ids[order], points[order]
+        self.ids, self.columns = ids[order], np.ascontiguousarray(points[order].T)
 
     def pack(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, top=self.top, nodes=self.nodes, ids=self.ids, points=self.points)
+        np.savez(out, top=self.top, nodes=self.nodes, ids=self.ids, columns=self.columns)
         return out.getvalue()
 
     @staticmethod
     def unpack(data: bytes) -> Tree:
         tree = Tree.__new__(Tree)
         with np.load(io.BytesIO(data)) as parts:
-            tree.top, tree.nodes, tree.ids, tree.points = float(parts["top"]), parts["nodes"], parts["ids"], parts["points"]
+            tree.top, tree.nodes, tree.ids, tree.columns = float(parts["top"]), parts["nodes"], parts["ids"], parts["columns"]
         return tree
 
-    def search(self, own: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, int]:
+    def search(
+        self, own: np.ndarray, queries: np.ndarray, k: int, factor: float, known: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray, int]:
         """(ids, scores) of the k nearest of each query, best first, -inf where there are fewer; products made.
 
-        ``own`` are the queries' ids, which are no candidates.
+        ``own`` are the queries' ids, which are no candidates; ``known`` are ids and scores found in other trees.
         """
-        best = np.full((len(queries), k), -np.inf)
-        names = np.full((len(queries), k), np.iinfo(np.int64).max)
+        bounded = known is not None
+        if not bounded:
+            known = np.full((len(queries), k), np.iinfo(np.int64).max), np.full((len(queries), k), -np.inf)
+        names, best = known[0].copy(), known[1].copy()
+        floor = best[:, -1].copy()  # never more than the k-th best score in all trees
         base = self.top**2 + (queries * queries).sum(axis=1)
         slack = 1e-6 * (np.sqrt(base) + self.top)
+        across = np.ascontiguousarray(queries.T)
+        # Two sums of the same products in any order differ by less than this.
+        size = np.abs(queries).max(axis=1, initial=0) * np.abs(self.columns).max(initial=0)
+        blur = 4 * queries.shape[1] ** 2 * np.finfo(np.float64).eps * size + np.finfo(np.float64).tiny
         made = 0
 
+        def offer(rows: np.ndarray, score: np.ndarray, at: int) -> None:
+            ids = self.ids[at : at + score.shape[1]]
+            may = ~(score < (floor[rows] - blur[rows])[:, None])
+            line, point = np.divmod(np.flatnonzero(may), len(ids))
+            if len(line) > k:
+                many = np.flatnonzero(np.bincount(line, minlength=len(rows)) > k + 1)
+                if len(many):  # k of these that aren't the query's own are a bound for the others
+                    some = np.where(may[many] & (ids != own[rows[many], None]), -score[many], np.inf)
+                    least = -np.partition(some, k - 1, axis=1)[:, k - 1]
+                    may[many] &= ~(score[many] < (least - 2 * blur[rows[many]])[:, None])
+                    line, point = np.divmod(np.flatnonzero(may), len(ids))
+            other = ids[point] != own[rows[line]]
+            line, point = line[other], point[other]
+            if not len(line):
+                return
+            if len(line) > may.size // 2:
+                exact = products(queries[rows], self.columns[:, at : at + len(ids)].T)[line, point]
+            else:
+                exact = some_products(across, self.columns, rows[line], at + point)
+            count = np.bincount(line, minlength=len(rows))
+            to = np.flatnonzero(count)
+            place = np.arange(len(line)) - np.repeat((np.cumsum(count) - count)[to], count[to])
+            row = np.repeat(np.arange(len(to)), count[to])
+            scores = np.full((len(to), k + count.max()), -np.inf)
+            found = np.full(scores.shape, np.iinfo(np.int64).max)
+            scores[:, :k], found[:, :k] = best[rows[to]], names[rows[to]]
+            scores[row, k + place], found[row, k + place] = exact, ids[point]
+            order = np.lexsort((found, -scores), axis=1)[:, :k]
+            best[rows[to]], names[rows[to]] = np.take_along_axis(scores, order, 1), np.take_along_axis(found, order, 1)
+            floor[rows[to]] = np.maximum(floor[rows[to]], best[rows[to], -1])
+
         def meet(rows: np.ndarray, at: int, end: int) -> np.ndarray:
             nonlocal made
             made += len(rows) * (end - at)
-            score = products(queries[rows], self.points[at:end])
-            ids = np.broadcast_to(self.ids[at:end], score.shape)
-            offered = np.where(ids == own[rows][:, None], -np.inf, score)
-            better = np.flatnonzero((offered >= best[rows, -1:]).any(axis=1))
-            if len(better):
-                to = rows[better]
-                scores, found = np.hstack([best[to], offered[better]]), np.hstack([names[to], ids[better]])
-                order = np.lexsort((found, -scores), axis=1)[:, :k]
-                best[to], names[to] = np.take_along_axis(scores, order, 1), np.take_along_axis(found, order, 1)
-            return score
+            return (queries if len(rows) == len(queries) else queries[rows]) @ self.columns[:, at:end]
+
+        def distance(rows: np.ndarray, score: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(base[rows] - 2 * score, 0))
+
+        def settle(number: int, rows: np.ndarray) -> None:
+            """The leaf that a query lies in gives its first bound."""
+            if not len(rows):
+                return
+            at, end, left, right, *ranges = self.nodes[number]
+            score = meet(rows, int(at), int(end))
+            if left >= 0:
+                inside = distance(rows, score[:, 0]) <= (ranges[1] + ranges[2]) / 2
+                settle(int(left), rows[inside])
+                settle(int(right), rows[~inside])
+            elif end - at >= k:
+                score[self.ids[int(at) : int(end)] == own[rows, None]] = -np.inf
+                floor[rows] = np.partition(score, -k, axis=1)[:, -k] - blur[rows]
 
         def visit(number: int, rows: np.ndarray) -> None:
+            """Queries go through the tree together, so that products are few and large."""
             if not len(rows):
                 return
             at, end, left, right, *ranges = self.nodes[number]
             score = meet(rows, int(at), int(end))
+            offer(rows, score, int(at))
             if left < 0:
                 return
-            far = np.sqrt(np.maximum(base[rows] - 2 * score[:, 0], 0))
-
-            def open_(low: float, high: float) -> np.ndarray:
+            far = distance(rows, score[:, 0])
+            for child, low, high in ((left, *ranges[:2]), (right, *ranges[2:])):
                 with np.errstate(invalid="ignore"):
-                    reach = np.sqrt(np.maximum(base[rows] - 2 * best[rows, -1], 0))
-                return np.maximum(np.maximum(far - high, low - far), 0) * factor <= reach + slack[rows]
-
-            inside = far <= (ranges[1] + ranges[2]) / 2
-            visit(int(left), rows[inside & open_(*ranges[:2])])
-            visit(int(right), rows[~inside & open_(*ranges[2:])])
-            visit(int(left), rows[~inside & open_(*ranges[:2])])
-            visit(int(right), rows[inside & open_(*ranges[2:])])
+                    reach = distance(rows, floor[rows])
+                visit(int(child), rows[np.maximum(np.maximum(far - high, low - far), 0) * factor <= reach + slack[rows]])
 
+        if not bounded:
+            settle(0, np.arange(len(queries)))
         visit(0, np.arange(len(queries)))
         return names, best, made
 
@@ -157,34 +216,42 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST, factor: float = FACTOR, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of each query (vec_id, vec), ties to the smaller id.
 
-    Queries are packed into blocks, and a copy of each block goes to each shard, where it meets the trees one after
-    the other: a tree moves once, and a task holds one tree and one block at a time.
+    Trees are dealt to tasks and stay there. Queries are packed into blocks, and a copy of each block goes to each task,
+    where what it found in one tree is its bound in the next. A task holds its trees, of ``HELD`` bytes or one at least, and
+    one block at a time.
     """
     queries = queries.where("vec is not null and vec_id is not null")
     queries = stored(queries.select(F.col("vec_id").alias("query_id"), "vec", F.octet_length("vec").alias("dim"), F.monotonically_increasing_id().alias("query")), "vp-queries")
     blocks = max(1, math.ceil(queries.count() / block))
-    last = index.agg(F.max("shard")).first()[0] or 0
+    last, largest = index.agg(F.max("shard"), F.max(F.octet_length("tree"))).first()
+    shards = (last or 0) + 1
+    tasks = max(min(shards, TASKS), math.ceil(shards / max(1, HELD // (largest or 1))))
     row = F.struct("query", "query_id", "vec")
     packed = queries.groupBy("dim", F.pmod(F.xxhash64("query"), F.lit(blocks)).alias("block")).agg(F.collect_list(row).alias("rows"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("shard")
+    each = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task")
     asking = packed.select(each, "dim", "block", F.lit(None).cast("binary").alias("tree"), "rows")
-    trees = index.select("shard", "dim", F.lit(-1).cast("long").alias("block"), "tree", F.lit(None).cast(asking.schema["rows"].dataType).alias("rows"))
-    # Each shard is a partition of its own: the work of one doesn't show in its bytes.
-    together = trees.unionByName(asking).repartitionById(last + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "dim", "block")
+    task = F.pmod("shard", F.lit(tasks)).cast("int").alias("task")
+    trees = index.select(task, "dim", F.lit(-1).cast("long").alias("block"), "tree", F.lit(None).cast(asking.schema["rows"].dataType).alias("rows"))
+    # Each task is a partition of its own: the work of one doesn't show in its bytes.
+    together = trees.unionByName(asking).repartitionById(tasks, F.col("task")).sortWithinPartitions("dim", "block")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, place = None, None
+        held, place = [], None
         for batch in batches:
-            places = zip(batch.column("shard").to_pylist(), batch.column("dim").to_pylist())
-            for i, here in enumerate(places):
+            for i, here in enumerate(batch.column("dim").to_pylist()):
+                if here != place:
+                    held, place = [], here
                 if batch.column("tree")[i].is_valid:
-                    tree, place = Tree.unpack(batch.column("tree")[i].as_py()), here
-                elif here == place:  # else the shard has no vectors of this length
+                    held.append(Tree.unpack(batch.column("tree")[i].as_py()))
+                elif held:  # else the task has no vectors of this length
                     query, own, vec = batch.column("rows")[i].values.flatten()
-                    names, scores, _ = tree.search(own.to_numpy(), _matrix(vec.to_pylist()), k, factor)
+                    ids, points, known = own.to_numpy(), _matrix(vec.to_pylist()), None
+                    for tree in held:
+                        known = tree.search(ids, points, k, factor, known)[:2]
+                    names, scores = known
                     good = scores > -np.inf
-                    line = np.repeat(np.arange(len(own)), good.sum(axis=1))
-                    found = [query.to_numpy()[line], own.to_numpy()[line], names[good], scores[good]]
+                    line = np.repeat(np.arange(len(ids)), good.sum(axis=1))
+                    found = [query.to_numpy()[line], ids[line], names[good], scores[good]]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query", "query_id", "vec_id", "score"])
 
     found = together.mapInArrow(meet, "query long, query_id long, vec_id long, score double")

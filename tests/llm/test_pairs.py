@@ -257,6 +257,82 @@ def test_blocks_of_queries_visit_trees_that_stay(spark):
         assert [got[i][n] for n in range(1, 5)] == [j for _, j in near]
 
 
+def best_in_order(ids, points, own, queries, k):
+    """(names, scores) of the k nearest of each query by products summed coordinate by coordinate."""
+    out = []
+    for i, q in zip(own, queries):
+        score = np.zeros(len(points))
+        for x, column in zip(q, points.T):
+            score += x * column
+        order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:k]
+        out.append((ids[order].tolist(), score[order].tolist()))
+    return out
+
+
+def test_few_products_are_summed_one_by_one(monkeypatch):
+    draw = np.random.default_rng(17)
+    points, ids, summed = draw.normal(size=(3000, 64)), np.arange(3000), []
+
+    def counted(make):
+        def run(*parts):
+            out = make(*parts)
+            summed.append(out.size)
+            return out
+
+        return run
+
+    monkeypatch.setattr(vptree, "products", counted(vptree.products))
+    if hasattr(vptree, "some_products"):
+        monkeypatch.setattr(vptree, "some_products", counted(vptree.some_products))
+    names, scores, _ = vptree.Tree(ids, points).search(ids[::10], points[::10], 20, 1.0)
+    assert [(a.tolist(), b.tolist()) for a, b in zip(names, scores)] == best_in_order(ids, points, ids[::10], points[::10], 20)
+    assert sum(summed) < 0.2 * len(names) * len(points)  # no structure, so each product is made, but few decide anything
+
+
+@pytest.mark.parametrize("kind", ["copies", "whole numbers", "scales", "tiny", "huge and small"])
+def test_products_that_are_nearly_equal_keep_their_order(kind):
+    draw = np.random.default_rng(18)
+    points = draw.normal(size=(900, 12))
+    if kind == "copies":
+        points = points[draw.integers(30, size=900)]
+    elif kind == "whole numbers":
+        points = np.round(points)
+    elif kind == "scales":
+        points *= 10.0 ** draw.integers(-12, 13, size=(900, 1))
+    elif kind == "tiny":
+        points *= 1e-160
+    else:
+        points[:, 0], points[:, 1] = 1e9, draw.choice([-1e9, 1e9], size=900)
+    ids = draw.permutation(900)
+    ids[5] = ids[6]  # rows that share an id are candidates each
+    tree, names, scores = vptree.Tree(ids, points), *vptree.Tree(ids[:400], points[:400]).search(ids[::9], points[::9], 7, 1.0)[:2]
+    whole = best_in_order(ids, points, ids[::9], points[::9], 7)
+    found = tree.search(ids[::9], points[::9], 7, 1.0)
+    assert [(a.tolist(), b.tolist()) for a, b in zip(*found[:2])] == whole
+    rest = vptree.Tree(ids[400:], points[400:]).search(ids[::9], points[::9], 7, 1.0, (names, scores))
+    assert [(a.tolist(), b.tolist()) for a, b in zip(*rest[:2])] == whole
+
+
+def test_trees_of_a_task_hand_on_what_they_found(spark, monkeypatch):
+    monkeypatch.setattr(vptree, "TASKS", 2, raising=False)
+    draw = np.random.default_rng(19)
+    points = {i: draw.normal(size=6 if i % 5 else 3) for i in range(400)}
+    rows = spark.createDataFrame([(i, p.astype("<f8").tobytes()) for i, p in points.items()], "vec_id long, vec binary")
+    index = common.stored(vptree.build_index(rows, shard_rows=30), "vp-index")
+    asked = rows.where("vec_id % 4 = 0")
+    for held, tasks in ((1 << 30, 2), (1, 14)):
+        monkeypatch.setattr(vptree, "HELD", held, raising=False)
+        found = vptree.search(index, asked, k=5, block=16)
+        dealt = re.search(r"direct_shuffle_partition_id\(task#\d+\), (\d+)\)", found._jdf.queryExecution().executedPlan().toString())
+        assert dealt and int(dealt.group(1)) == tasks
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+        for i in range(0, 400, 4):
+            near = sorted((-float(points[i] @ p), j) for j, p in points.items() if j != i and len(p) == len(points[i]))[:5]
+            assert [got[i][n] for n in range(1, 6)] == [j for _, j in near]
+
+
 def test_nearest_of_few_and_none(spark):
     rows = [(0, [1.0, 0.0], "x"), (1, [1.0, 0.0], "x"), (2, [1.0, 0.0], "x"), (None, [9.0, 9.0], "x"), (40, None, "x")]
     out = vptree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")).collect()
